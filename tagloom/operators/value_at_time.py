@@ -48,7 +48,7 @@ def range_samples(
 
 def cell_summary(samples: DataFrame, grid: GridSpec) -> DataFrame:
     """First and last sample of each tag and cell."""
-    sample = F.struct(F.unix_micros("ts").alias("t"), F.col("istat").cast("bigint"), F.col("rval").alias("v"))
+    sample = F.struct(F.unix_micros("ts").alias("t"), F.col("istat").cast("bigint").alias("istat"), F.col("rval").alias("v"))
     return (
         samples.select(*KEYS, grid.cell_of(F.col("ts")).alias("cell"), sample.alias("sample"))
         .groupBy(*KEYS, "cell")
@@ -56,16 +56,20 @@ def cell_summary(samples: DataFrame, grid: GridSpec) -> DataFrame:
     )
 
 
-def _block_edges(cells: DataFrame, tags: DataFrame, grid: GridSpec, size: int) -> DataFrame:
-    """For each tag and block, an edge row before its first cell carrying the last earlier
-    sample, and one after its last cell carrying the first later sample."""
-    blocks = -(-grid.points // size)
-    block = (
+def _block_of(grid: GridSpec, size: int) -> Column:
+    """Block of a cell; what lies before and after the grid forms a block of its own each."""
+    return (
         F.when(F.col("cell") < 0, F.lit(-1))
-        .when(F.col("cell") >= grid.points, F.lit(blocks))
+        .when(F.col("cell") >= grid.points, F.lit(-(-grid.points // size)))
         .otherwise(F.call_function("div", F.col("cell"), F.lit(size)))
         .cast("bigint")
     )
+
+
+def _block_edges(cells: DataFrame, tags: DataFrame, grid: GridSpec, size: int) -> DataFrame:
+    """For each tag and block, an edge row before its first cell carrying the last earlier
+    sample, and one after its last cell carrying the first later sample."""
+    blocks = -(-grid.points // size)
     every = tags.select(
         *KEYS,
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"),
@@ -73,7 +77,7 @@ def _block_edges(cells: DataFrame, tags: DataFrame, grid: GridSpec, size: int) -
         _no_sample().alias("last"),
     )
     summary = (
-        cells.select(*KEYS, block.alias("block"), "first", "last")
+        cells.select(*KEYS, "block", "first", "last")
         .unionByName(every)
         .groupBy(*KEYS, "block")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
@@ -91,7 +95,8 @@ def _block_edges(cells: DataFrame, tags: DataFrame, grid: GridSpec, size: int) -
         F.struct(low.alias("cell"), _no_sample().alias("first"), F.col("carry_in").alias("last")),
         F.struct(high.alias("cell"), F.col("carry_out").alias("first"), _no_sample().alias("last")),
     )
-    return carried.select(*KEYS, "block", F.inline(edges))
+    edge = F.explode(edges).alias("edge")
+    return carried.select(*KEYS, "block", edge).select(*KEYS, "block", "edge.cell", "edge.first", "edge.last")
 
 
 def value_at_time(
@@ -118,13 +123,14 @@ def value_at_time(
     usable = enrich(
         range_samples(samples, grid, lookback, lookahead), wanted, KEYS, ["ts"], how="left_semi", **join_options
     )
-    cells = cell_summary(usable, grid)
-    inner = cells.where((F.col("cell") >= 0) & (F.col("cell") < grid.points)).withColumn(
-        "block", F.call_function("div", F.col("cell"), F.lit(cells_per_block)).cast("bigint")
+    # Used twice below; nothing is filtered from either use, so that both read one shuffle.
+    cells = cell_summary(usable, grid).withColumn("block", _block_of(grid, cells_per_block))
+    rows = cells.select(*KEYS, "block", "cell", "first", "last").unionByName(
+        _block_edges(cells, wanted, grid, cells_per_block)
     )
-    rows = inner.unionByName(_block_edges(cells, wanted, grid, cells_per_block))
 
-    # Edge rows share a cell number with no inner row of their block.
+    # Edge rows share a cell number with no other row of their block. The single rows of
+    # the blocks before and after the grid have no successor and go no further.
     order = Window.partitionBy(*KEYS, "block").orderBy("cell")
     gaps = rows.select(
         *KEYS,

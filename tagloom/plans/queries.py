@@ -315,7 +315,8 @@ def q24_retention(spark, sf_dir):
 def _event_stream(spark, sf_dir) -> DataFrame:
     A.ensure_utc(spark)
     schema = spark.createDataFrame([], A.EVENT_TABLE).schema
-    return file_stream(spark, f"{sf_dir}/events.parquet", schema)
+    # A pattern, because a plain path to a stream source must be a folder.
+    return file_stream(spark, f"{sf_dir}/[e]vents.parquet", schema)
 
 
 def _loaders(spark, sf_dir):
