@@ -40,18 +40,17 @@ def value_text(value: Column | str) -> Column:
     size = F.abs(v)
     native = v.cast("string")
 
-    e15 = F.format_string("%.14e", v)
-    e16 = F.format_string("%.15e", v)
-    e17 = F.format_string("%.16e", v)
-    scientific = (
-        F.when(e15.cast("double") == v, e15).when(e16.cast("double") == v, e16).otherwise(e17)
-    )
-
-    zeros_cut = F.rtrim(scientific.cast("decimal(38,21)").cast("string"), F.lit("0"))
-    plain = F.when(F.endswith(zeros_cut, F.lit(".")), F.concat(zeros_cut, F.lit("0"))).otherwise(zeros_cut)
-
-    mantissa = F.rtrim(F.rtrim(F.substring_index(scientific, "e", 1), F.lit("0")), F.lit("."))
-    exponential = F.concat(mantissa, F.lit("e"), F.substring_index(scientific, "e", -1))
+    # How many digits after the first are needed, and the number with that many.
+    def digits(n: int) -> Column:
+        return F.format_string(f"%.{n}e", v).cast("double") == v
+
+    needed = F.when(digits(14), "%.14e").when(digits(15), "%.15e").otherwise("%.16e")
+    scientific = F.call_function("format_string", needed, v)
+    laid_out = F.when(
+        (size >= 1e-4) & (size < 1e16), scientific.cast("decimal(38,21)").cast("string")
+    ).otherwise(scientific)
+    # Zeros at the end of a fraction go, but one right after the point stays in plain layout.
+    trimmed = F.regexp_replace(laid_out, r"(\.\d+?)0+$|\.?0+(?=e)", "$1")
 
     return (
         F.when(v.isNull(), F.lit(None).cast("string"))
@@ -60,8 +59,7 @@ def value_text(value: Column | str) -> Column:
         .when(v == float("inf"), F.lit("inf"))
         .when(v == float("-inf"), F.lit("-inf"))
         .when(v == 0, native)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponential)
+        .otherwise(trimmed)
     )
 
 

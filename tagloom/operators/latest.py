@@ -16,8 +16,11 @@ def latest_per_key(df: DataFrame, keys: list[str], newest_by: list[str]) -> Data
 
 
 def snapshot(samples: DataFrame) -> DataFrame:
-    """Current reading of each tag."""
-    return latest_per_key(samples, ["site", "server", "tag"], ["ts"])
+    """Current reading of each tag. Samples are unique by tag and time, so the columns can be
+    picked one by one; their fixed width lets Spark aggregate by hash."""
+    keys = ["site", "server", "tag"]
+    picked = [F.max_by(c, "ts").alias(c) for c in samples.columns if c not in (*keys, "ts")]
+    return samples.groupBy(*keys).agg(F.max("ts").alias("ts"), *picked).select(*samples.columns)
 
 
 def deduplicate(events: DataFrame, newest_by: list[str] | None = None) -> DataFrame:

@@ -21,6 +21,17 @@ def resolve_points(readings: DataFrame, points: DataFrame, **join_options) -> Da
     return enrich(readings, dim, ["site", "server", "tag"], ["ts"], **join_options)
 
 
+def _no_data(df: DataFrame) -> Column:
+    return F.col("no_data") if "no_data" in df.columns else F.lit(False)
+
+
+def with_number_text(readings: DataFrame) -> DataFrame:
+    """Render numbers ahead of the joins. In one generated method with the joins the
+    rendering would make it too long for the JVM to compile."""
+    numeric = ~_no_data(readings) & (F.col("status") == 0) & (F.col("istat") >= 0)
+    return readings.withColumn("number_text", F.when(numeric, value_text("rval"))).drop("rval")
+
+
 def _is_digital(no_data: Column) -> Column:
     return F.col("point_id").isNotNull() & ~no_data & (F.col("status") == 0) & (F.col("istat") < 0)
 
@@ -31,7 +42,7 @@ def resolve_states(readings: DataFrame, states: DataFrame, **join_options) -> Da
     A hit takes set and state from the dimension even where they are null; a miss
     keeps the numbers decoded from the code.
     """
-    no_data = F.col("no_data") if "no_data" in readings.columns else F.lit(False)
+    no_data = _no_data(readings)
     keyed = readings.withColumn("server_key", server_key("server")).withColumn(
         "digital_code", F.when(_is_digital(no_data), digital_code("istat"))
     )
@@ -56,10 +67,10 @@ def resolve_states(readings: DataFrame, states: DataFrame, **join_options) -> Da
 
 
 def classify(resolved: DataFrame) -> DataFrame:
-    """Value text, quality and value type. The first matching condition decides:
+    """Value text, quality and value type of readings with ``number_text``. The first matching condition decides:
     no point, no data, bad status, digital state, number."""
     no_point = F.col("point_id").isNull()
-    no_data = F.col("no_data") if "no_data" in resolved.columns else F.lit(False)
+    no_data = _no_data(resolved)
     failed = F.col("status") != 0
     digital = F.col("istat") < 0
     return (
@@ -67,7 +78,7 @@ def classify(resolved: DataFrame) -> DataFrame:
             "value",
             F.when(no_point | no_data | failed, F.lit(None).cast("string"))
             .when(digital, F.col("digital_state_name"))
-            .otherwise(value_text("rval")),
+            .otherwise(F.col("number_text")),
         )
         .withColumn(
             "quality",
@@ -89,5 +100,5 @@ def classify(resolved: DataFrame) -> DataFrame:
 
 
 def resolve_and_classify(readings: DataFrame, points: DataFrame, states: DataFrame, **join_options) -> DataFrame:
-    resolved = resolve_states(resolve_points(readings, points, **join_options), states, **join_options)
-    return classify(resolved)
+    rendered = with_number_text(readings)
+    return classify(resolve_states(resolve_points(rendered, points, **join_options), states, **join_options))

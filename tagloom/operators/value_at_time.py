@@ -3,7 +3,8 @@
 Rules, per tag and over samples with status 0: a sample exactly at the instant is
 taken; otherwise, with neighbours before and after that are both numbers, the value is
 linear in time; a digital neighbour on either side, or no later sample, holds the
-earlier one; with no earlier sample there is no data.
+earlier one; with no earlier sample there is no data. Samples are unique by tag and
+time, as the archive keeps them; reduce a raw feed with ``latest_per_key`` first.
 
 Plan. Samples are first reduced, with partial aggregation before the shuffle, to the
 first and last sample of each (tag, grid cell); a tag or a moment that holds a third
@@ -20,17 +21,37 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tagloom.operators.enrich import enrich
 from tagloom.operators.grid import GridSpec
 
 KEYS = ["site", "server", "tag"]
 CELLS_PER_BLOCK = 16_384
-_SAMPLE = "struct<t:bigint,istat:bigint,v:double>"
 
+# A sample is kept as three plain columns, not as a struct: buffers of fixed width let
+# Spark aggregate by hash, without sorting the raw samples.
+_SIDES = ("first", "last")
+_FIELDS = {"t": "bigint", "istat": "bigint", "v": "double"}
+_COLUMNS = [f"{side}_{f}" for side in _SIDES for f in _FIELDS]
 
-def _no_sample() -> Column:
-    return F.lit(None).cast(_SAMPLE)
+
+def _nothing(side: str) -> list[Column]:
+    return [F.lit(None).cast(t).alias(f"{side}_{f}") for f, t in _FIELDS.items()]
+
+
+def _earliest(side: str, alias: str, over: WindowSpec | None = None) -> list[Column]:
+    return _pick(F.min_by, side, alias, over)
+
+
+def _latest(side: str, alias: str, over: WindowSpec | None = None) -> list[Column]:
+    return _pick(F.max_by, side, alias, over)
+
+
+def _pick(by, side: str, alias: str, over: WindowSpec | None) -> list[Column]:
+    # All three columns are picked by the same comparison, so they are of one sample.
+    picked = [by(F.col(f"{side}_{f}"), F.col(f"{side}_t")) for f in _FIELDS]
+    return [(c.over(over) if over is not None else c).alias(f"{alias}_{f}") for c, f in zip(picked, _FIELDS)]
 
 
 def range_samples(
@@ -48,11 +69,11 @@ def range_samples(
 
 def cell_summary(samples: DataFrame, grid: GridSpec) -> DataFrame:
     """First and last sample of each tag and cell."""
-    sample = F.struct(F.unix_micros("ts").alias("t"), F.col("istat").cast("bigint").alias("istat"), F.col("rval").alias("v"))
+    sample = {"t": F.unix_micros("ts"), "istat": F.col("istat").cast("bigint"), "v": F.col("rval")}
     return (
-        samples.select(*KEYS, grid.cell_of(F.col("ts")).alias("cell"), sample.alias("sample"))
+        samples.select(*KEYS, grid.cell_of(F.col("ts")).alias("cell"), *[c.alias(f"s_{f}") for f, c in sample.items()])
         .groupBy(*KEYS, "cell")
-        .agg(F.min("sample").alias("first"), F.max("sample").alias("last"))
+        .agg(*_earliest("s", "first"), *_latest("s", "last"))
     )
 
 
@@ -73,30 +94,28 @@ def _block_edges(cells: DataFrame, tags: DataFrame, grid: GridSpec, size: int) -
     every = tags.select(
         *KEYS,
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"),
-        _no_sample().alias("first"),
-        _no_sample().alias("last"),
+        *_nothing("first"), *_nothing("last"),
     )
     summary = (
-        cells.select(*KEYS, "block", "first", "last")
+        cells.select(*KEYS, "block", *_COLUMNS)
         .unionByName(every)
         .groupBy(*KEYS, "block")
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    )
-    earlier = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*KEYS).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        summary.withColumn("carry_in", F.max("last").over(earlier))
-        .withColumn("carry_out", F.min("first").over(later))
-        .where((F.col("block") >= 0) & (F.col("block") < blocks))
+        .agg(*_earliest("first", "first"), *_latest("last", "last"))
     )
+    before = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*KEYS).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.select(
+        *KEYS, "block", *_latest("last", "in", before), *_earliest("first", "out", after)
+    ).where((F.col("block") >= 0) & (F.col("block") < blocks))
     low = F.col("block") * F.lit(size) - 1
     high = F.least((F.col("block") + 1) * F.lit(size), F.lit(grid.points).cast("bigint"))
+    incoming = [F.col(f"in_{f}").alias(f"last_{f}") for f in _FIELDS]
+    outgoing = [F.col(f"out_{f}").alias(f"first_{f}") for f in _FIELDS]
     edges = F.array(
-        F.struct(low.alias("cell"), _no_sample().alias("first"), F.col("carry_in").alias("last")),
-        F.struct(high.alias("cell"), F.col("carry_out").alias("first"), _no_sample().alias("last")),
+        F.struct(low.alias("cell"), *_nothing("first"), *incoming),
+        F.struct(high.alias("cell"), *outgoing, *_nothing("last")),
     )
-    edge = F.explode(edges).alias("edge")
-    return carried.select(*KEYS, "block", edge).select(*KEYS, "block", "edge.cell", "edge.first", "edge.last")
+    return carried.select(*KEYS, "block", F.explode(edges).alias("edge")).select(*KEYS, "block", "edge.*")
 
 
 def value_at_time(
@@ -125,7 +144,7 @@ def value_at_time(
     )
     # Used twice below; nothing is filtered from either use, so that both read one shuffle.
     cells = cell_summary(usable, grid).withColumn("block", _block_of(grid, cells_per_block))
-    rows = cells.select(*KEYS, "block", "cell", "first", "last").unionByName(
+    rows = cells.select(*KEYS, "block", "cell", *_COLUMNS).unionByName(
         _block_edges(cells, wanted, grid, cells_per_block)
     )
 
@@ -136,31 +155,34 @@ def value_at_time(
         *KEYS,
         (F.col("cell") + 1).alias("lo"),
         F.lead("cell").over(order).alias("next_cell"),
-        F.col("last").alias("p"),
-        F.lead("first").over(order).alias("n"),
+        *[F.col(f"last_{f}").alias(f"p_{f}") for f in _FIELDS],
+        *[F.lead(f"first_{f}").over(order).alias(f"n_{f}") for f in _FIELDS],
         F.least(
             (F.col("block") + 1) * F.lit(cells_per_block), F.lit(grid.points).cast("bigint")
         ).alias("block_end"),
     ).where(F.col("next_cell").isNotNull())
     hi = F.least(F.col("next_cell"), F.col("block_end") - 1)
     points = gaps.where(F.col("lo") <= hi).select(
-        *KEYS, "p", "n", F.explode(F.sequence("lo", hi)).alias("cell")
+        *KEYS, *[f"{side}_{f}" for side in ("p", "n") for f in _FIELDS], F.explode(F.sequence("lo", hi)).alias("cell")
     )
     at = points.withColumn("g", grid.instant_micros(F.col("cell")))
     return at.select(*KEYS, F.timestamp_micros("g").alias("ts"), *_interpolate())
 
 
 def _interpolate() -> list[Column]:
-    g, p, n = F.col("g"), F.col("p"), F.col("n")
+    g = F.col("g")
+    p = {f: F.col(f"p_{f}") for f in _FIELDS}
+    n = {f: F.col(f"n_{f}") for f in _FIELDS}
     exact = F.coalesce(n["t"] == g, F.lit(False))
-    hold = n.isNull() | (p["istat"] < 0) | (n["istat"] < 0)
+    none = p["t"].isNull()
+    hold = n["t"].isNull() | (p["istat"] < 0) | (n["istat"] < 0)
     share = (g - p["t"]).cast("double") / (n["t"] - p["t"]).cast("double")
     linear = p["v"] + (n["v"] - p["v"]) * share
-    value = F.when(exact, n["v"]).when(p.isNull(), None).when(hold, p["v"]).otherwise(linear)
-    istat = F.when(exact, n["istat"]).when(p.isNull(), None).when(hold, p["istat"]).otherwise(F.lit(0))
+    value = F.when(exact, n["v"]).when(none, None).when(hold, p["v"]).otherwise(linear)
+    istat = F.when(exact, n["istat"]).when(none, None).when(hold, p["istat"]).otherwise(F.lit(0))
     return [
         value.cast("double").alias("rval"),
         istat.cast("bigint").alias("istat"),
         F.lit(0).cast("bigint").alias("status"),
-        (~exact & p.isNull()).alias("no_data"),
+        (~exact & none).alias("no_data"),
     ]
