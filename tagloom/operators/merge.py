@@ -14,7 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tagloom.functions import partition_date
 from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA, MERGE_UPDATED_COLUMNS, TABLE_COLUMNS
-from tagloom.session import scratch_path
+from tagloom.session import drop_scratch, scratch_path
 
 TABLE_SCHEMA = T.StructType([
     *EVENT_SCHEMA.fields,
@@ -122,6 +122,7 @@ def reconcile(
     # At most one row per calendar day and site: partition names, not data.
     touched = staged.select("event_date", "site").distinct().collect()
     if not touched:
+        drop_scratch(spark, staged_path)
         return {}
     target = read_table(spark, path).where(
         F.col("event_date").isin([r["event_date"] for r in touched]) & F.col("site").isin([r["site"] for r in touched])
@@ -139,4 +140,5 @@ def reconcile(
         wanted = spark.createDataFrame(dirty, "event_date date, site string")
         replaced = merged.drop("action").join(F.broadcast(wanted), ["event_date", "site"], "left_semi")
         overwrite_partitions(replaced.select(*TABLE_COLUMNS), path, max_records_per_file=max_records_per_file)
+    drop_scratch(spark, staged_path, merged_path)
     return counts

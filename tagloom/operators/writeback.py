@@ -11,7 +11,7 @@ from tagloom.functions import normalise_tag, parse_timestamp, partition_date, py
 from tagloom.operators.enrich import enrich
 from tagloom.operators.latest import latest_per_key
 from tagloom.operators.resolve import valid_points
-from tagloom.session import scratch_path
+from tagloom.session import drop_scratch, scratch_path
 
 _PAYLOAD = "site string, tag string, timestamp string, value string, istat string, wait string"
 
@@ -123,6 +123,7 @@ def put_archive(spark: SparkSession, path: str, requests: DataFrame) -> None:
     fresh = spark.read.parquet(fresh_path)
     days = [r["event_date"] for r in fresh.select("event_date").distinct().collect()]  # calendar days only
     if not days:
+        drop_scratch(spark, fresh_path)
         return
     stored = read_archive(spark, path).where(F.col("event_date").isin(days))
     both = stored.unionByName(fresh.select(*stored.columns))
@@ -135,3 +136,4 @@ def put_archive(spark: SparkSession, path: str, requests: DataFrame) -> None:
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "site").parquet(path)
     )
+    drop_scratch(spark, fresh_path, merged_path)

@@ -49,6 +49,12 @@ def tags(readings: DataFrame) -> DataFrame:
     return materialize(readings.select("site", "server", "tag").distinct())
 
 
+def tags_and_states(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tag table and state dimension from one pass over the readings."""
+    seen = materialize(readings.select("site", "server", "tag", "istat").distinct())
+    return seen.select("site", "server", "tag").distinct(), states_of(seen)
+
+
 def points(tag_table: DataFrame) -> DataFrame:
     """Point ids from a hash, so that no global numbering is needed; one lookup failed."""
     name = F.concat_ws("|", "site", "server", "tag")
@@ -72,10 +78,6 @@ def states_of(readings: DataFrame) -> DataFrame:
     )
 
 
-def states(readings: DataFrame) -> DataFrame:
-    return materialize(states_of(readings))
-
-
 def sites(tag_table: DataFrame) -> DataFrame:
     return tag_table.select(
         "site", "server", F.lit(SOURCE_ARCHIVE).alias("source"), F.lit("America/Sao_Paulo").alias("timezone"),

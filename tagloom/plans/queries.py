@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom import functions as fn
 from tagloom.operators import chunks, dimensions, grid, latest, merge, reports, resolve, writeback
 from tagloom.operators.canonical import published_form
+from tagloom.operators.enrich import enrich
 from tagloom.operators.value_at_time import value_at_time
 from tagloom.plans import adapters as A
 from tagloom.plans.jobs import stored_events
@@ -41,8 +42,8 @@ def _iso(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _events_of(readings: DataFrame) -> DataFrame:
-    tag_table = A.tags(readings)
-    return stored_events(readings, A.sites(tag_table), A.points(tag_table), A.states(readings))
+    tag_table, state_table = A.tags_and_states(readings)
+    return stored_events(readings, A.sites(tag_table), A.points(tag_table), state_table)
 
 
 def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,8 @@ def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _classified(readings: DataFrame) -> DataFrame:
-    return resolve.resolve_and_classify(readings, A.points(A.tags(readings)), A.states(readings))
+    tag_table, state_table = A.tags_and_states(readings)
+    return resolve.resolve_and_classify(readings, A.points(tag_table), state_table)
 
 
 def _grid(readings: DataFrame) -> grid.GridSpec:
@@ -111,7 +113,7 @@ def q08_windows(spark, sf_dir):
     readings = A.samples(spark, sf_dir)
     bounds = materialize(_site_bounds(readings))
     windows = grid.split_windows(bounds, "range_start", "range_end", WINDOW_SECONDS)
-    placed = readings.withColumnRenamed("ts", "timestamp").join(F.broadcast(bounds), "site")  # one row per site
+    placed = enrich(readings.withColumnRenamed("ts", "timestamp"), bounds, ["site"], ["timestamp"], how="inner")
     inside = placed.where((F.col("timestamp") >= F.col("range_start")) & (F.col("timestamp") < F.col("range_end")))
     counts = reports.events_per_window(inside, "range_start", WINDOW_SECONDS)
     joined = windows.join(counts, ["site", "window_start"], "left")
@@ -138,9 +140,9 @@ def q10_interpolated(spark, sf_dir):
 
 def q11_interpolated_events(spark, sf_dir):
     readings = A.samples(spark, sf_dir)
-    tag_table = A.tags(readings)
+    tag_table, state_table = A.tags_and_states(readings)
     sampled = value_at_time(readings, tag_table, _grid(readings))
-    return published_form(stored_events(sampled, A.sites(tag_table), A.points(tag_table), A.states(readings)))
+    return published_form(stored_events(sampled, A.sites(tag_table), A.points(tag_table), state_table))
 
 
 def q12_snapshot_latest(spark, sf_dir):
@@ -198,8 +200,8 @@ def _merged(spark, sf_dir, compare: str) -> DataFrame:
     """Stored: every event, and a retired tag for each. Staged: every event corrected, and
     every event forty days later."""
     readings = A.samples(spark, sf_dir)
-    tag_table = A.tags(readings)
-    site_table, point_table, state_table = A.sites(tag_table), A.points(tag_table), A.states(readings)
+    tag_table, state_table = A.tags_and_states(readings)
+    site_table, point_table = A.sites(tag_table), A.points(tag_table)
 
     def made(r: DataFrame) -> DataFrame:
         return stored_events(r, site_table, point_table, state_table)
@@ -251,7 +253,7 @@ def q18_state_merge(spark, sf_dir):
         F.shiftright((-code).cast("bigint"), 16).alias("digital_set_id"),
         F.lit(None).cast("bigint").alias("digital_state_id"),
         F.lit("lookup").alias("state_source"), F.col("event_id").alias("seq"))
-    return dimensions.merge_states(A.states(readings), fresh, "seq")
+    return dimensions.merge_states(A.states_of(readings), fresh, "seq")
 
 
 def _requests(spark, sf_dir) -> DataFrame:
@@ -321,8 +323,7 @@ def _event_stream(spark, sf_dir) -> DataFrame:
 
 def _loaders(spark, sf_dir):
     readings = A.samples(spark, sf_dir)
-    tag_table = A.tags(readings)
-    state_table = A.states(readings)
+    tag_table, state_table = A.tags_and_states(readings)
     return lambda: A.points(tag_table), lambda: state_table, lambda: A.sites(tag_table)
 
 

@@ -46,6 +46,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders once what they held is safely stored."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder, so that a lost executor costs no recomputation."""
     shared_dir(df.sparkSession)

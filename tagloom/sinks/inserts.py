@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.operators.latest import deduplicate
 from tagloom.operators.merge import read_table
 from tagloom.schema import TABLE_COLUMNS
-from tagloom.session import scratch_path
+from tagloom.session import drop_scratch, scratch_path
 from tagloom.sinks.tables import clustered, with_event_date, with_ingestion_time
 
 
@@ -23,9 +23,11 @@ def insert_new(spark: SparkSession, path: str, events: DataFrame) -> None:
     batch = spark.read.parquet(batch_path)
     days = [r["event_date"] for r in batch.select("event_date").distinct().collect()]  # calendar days only
     if not days:
+        drop_scratch(spark, batch_path)
         return
     stored = read_table(spark, path).where(F.col("event_date").isin(days)).select("event_date", "event_id")
     fresh_path = scratch_path(spark, "fresh")
     batch.join(stored, ["event_date", "event_id"], "left_anti").write.parquet(fresh_path)
     fresh = with_ingestion_time(spark.read.parquet(fresh_path))
     clustered(fresh.select(*TABLE_COLUMNS)).write.mode("append").partitionBy("event_date", "site").parquet(path)
+    drop_scratch(spark, batch_path, fresh_path)
