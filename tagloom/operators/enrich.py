@@ -47,5 +47,5 @@ def enrich(
     for k in keys:
         no_key = no_key | F.col(k).isNull()
     salted_fact = fact.withColumn(_SALT, F.when(no_key, spread).otherwise(F.pmod(spread, F.lit(salts))))
-    salted_dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    salted_dim = dim.withColumn(_SALT, F.explode(F.sequence(*[F.lit(n).cast("bigint") for n in (0, salts - 1)])))
     return salted_fact.join(salted_dim, [*keys, _SALT], how).drop(_SALT)
