@@ -32,15 +32,23 @@ def safe_int(value: Column | str) -> Column:
 def value_text(value: Column | str) -> Column:
     """Shortest text that reads back as the same double, laid out as Python's ``str(float)``.
 
-    Most readings take the first branch: in the range where both layouts agree, a text
-    of at most fifteen significant digits is already the only candidate. The rest try
-    15, 16 and then 17 digits.
+    In the middle range, where the JVM's layout is the same, its text stands when it has
+    at most fifteen significant digits (then there is no other candidate), or when
+    neither one nor two digits fewer would read back as the same number. The JVM does
+    not always give the shortest text; what is left tries 15, 16 and then 17 digits.
     """
     v = _col(value)
     size = F.abs(v)
-    native = v.cast("string")
+    native, native_size = v.cast("string"), size.cast("string")
+    middle = (size >= 1e-3) & (size < 1e7)
+
+    scale = F.length(native_size) - F.instr(native_size, ".")
+    whole = F.replace(native_size, F.lit("."), F.lit("")).cast("bigint")
+
+    def reads_back_without(n: int) -> Column:
+        rounded = F.call_function("div", whole + F.lit(5 * 10 ** (n - 1)), F.lit(10**n))
+        return F.concat(rounded.cast("string"), F.lit("E-"), (scale - n).cast("string")).cast("double") == size
 
-    # How many digits after the first are needed, and the number with that many.
     def digits(n: int) -> Column:
         return F.format_string(f"%.{n}e", v).cast("double") == v
 
@@ -54,7 +62,8 @@ def value_text(value: Column | str) -> Column:
 
     return (
         F.when(v.isNull(), F.lit(None).cast("string"))
-        .when((size >= 1e-3) & (size < 1e7) & (F.length(size.cast("string")) <= 16), native)
+        .when(middle & (F.length(native_size) <= 16), native)
+        .when(middle & ~reads_back_without(1) & ~reads_back_without(2), native)
         .when(F.isnan(v), F.lit("nan"))
         .when(v == float("inf"), F.lit("inf"))
         .when(v == float("-inf"), F.lit("-inf"))

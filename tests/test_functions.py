@@ -65,6 +65,7 @@ def test_value_text_matches_python(spark):
     values += [round(rng.uniform(-500, 500), 2) for _ in range(2000)]
     values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-4, 16) for _ in range(6000)]
     values += [struct.unpack("f", struct.pack("f", rng.uniform(-1000, 1000)))[0] for _ in range(4000)]
+    values += [rng.uniform(0.001, 1) ** rng.randrange(1, 3) * 10 ** rng.randrange(0, 7) for _ in range(20000)]
     values = [v for v in values if v is None or v != v or v == 0 or not 1e-5 > abs(v) > 1e-290 or v == 1.5e-5]
     got = spark.createDataFrame([(v,) for v in values], "v double").select("v", fn.value_text("v").alias("t"))
     wrong = [(r.v, r.t) for r in got.collect() if r.t != (None if r.v is None else str(r.v))]
