@@ -34,8 +34,8 @@ def value_text(value: Column | str) -> Column:
 
     In the middle range, where the JVM's layout is the same, its text stands when it has
     at most fifteen significant digits (then there is no other candidate), or when
-    neither one nor two digits fewer would read back as the same number. The JVM does
-    not always give the shortest text; what is left tries 15, 16 and then 17 digits.
+    neither one nor two digits fewer would read back as the same number: the JVM does not
+    always give the shortest text. Few numbers are left for :func:`_shortest_text`.
     """
     v = _col(value)
     size = F.abs(v)
@@ -49,6 +49,20 @@ def value_text(value: Column | str) -> Column:
         rounded = F.call_function("div", whole + F.lit(5 * 10 ** (n - 1)), F.lit(10**n))
         return F.concat(rounded.cast("string"), F.lit("E-"), (scale - n).cast("string")).cast("double") == size
 
+    # Evaluated for an array of one number: a lambda is not inlined into the generated
+    # method, which would otherwise be too long for the JVM to compile.
+    rare = F.element_at(F.transform(F.array(v), _shortest_text), 1)
+    return (
+        F.when(middle & (F.length(native_size) <= 16) | (v == 0), native)
+        .when(middle & ~reads_back_without(1) & ~reads_back_without(2), native)
+        .when(v.isNotNull(), rare)
+    )
+
+
+def _shortest_text(v: Column) -> Column:
+    """:func:`value_text` for any number: tries 15, 16 and then 17 digits."""
+    size = F.abs(v)
+
     def digits(n: int) -> Column:
         return F.format_string(f"%.{n}e", v).cast("double") == v
 
@@ -59,15 +73,10 @@ def value_text(value: Column | str) -> Column:
     ).otherwise(scientific)
     # Zeros at the end of a fraction go, but one right after the point stays in plain layout.
     trimmed = F.regexp_replace(laid_out, r"(\.\d+?)0+$|\.?0+(?=e)", "$1")
-
     return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(middle & (F.length(native_size) <= 16), native)
-        .when(middle & ~reads_back_without(1) & ~reads_back_without(2), native)
-        .when(F.isnan(v), F.lit("nan"))
+        F.when(F.isnan(v), F.lit("nan"))
         .when(v == float("inf"), F.lit("inf"))
         .when(v == float("-inf"), F.lit("-inf"))
-        .when(v == 0, native)
         .otherwise(trimmed)
     )
 

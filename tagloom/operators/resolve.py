@@ -26,8 +26,8 @@ def _no_data(df: DataFrame) -> Column:
 
 
 def with_number_text(readings: DataFrame) -> DataFrame:
-    """Render numbers ahead of the joins. In one generated method with the joins the
-    rendering would make it too long for the JVM to compile."""
+    """Render numbers ahead of the joins, so that joins and classification make one generated
+    method short enough for the JVM to compile."""
     numeric = ~_no_data(readings) & (F.col("status") == 0) & (F.col("istat") >= 0)
     return readings.withColumn("number_text", F.when(numeric, value_text("rval"))).drop("rval")
 
