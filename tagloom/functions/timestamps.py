@@ -41,22 +41,27 @@ def iso_zulu(ts: Column | str) -> Column:
     return F.concat(_iso_local(_col(ts)), F.lit("Z"))
 
 
-def parse_timestamp(text: Column | str, default_tz: str = "UTC") -> Column:
-    """ISO-8601 text to a UTC timestamp; text without offset is in ``default_tz``; bad text is null."""
-    t = _col(text)
+def _rebuilt(t: Column) -> Column:
+    """Any accepted form as year-month-day hour:minute:second.micros and offset; else null."""
 
     def part(i: int, default: str) -> Column:
-        got = F.regexp_extract(t, _ISO, i)
-        return F.when(got == "", default).otherwise(got)
+        return F.coalesce(F.nullif(F.regexp_extract(t, _ISO, i), F.lit("")), F.lit(default))
 
     micros = F.substring(F.rpad(F.regexp_extract(t, _ISO, 9), 6, "0"), 1, 6)
-    rebuilt = F.concat(
+    text = F.concat(
         part(1, ""), F.lit("-"), part(3, ""), F.lit("-"), part(4, ""), F.lit(" "),
         part(5, "00"), F.lit(":"), part(7, "00"), F.lit(":"), part(8, "00"), F.lit("."), micros,
         part(11, "+"), part(12, "00"), F.lit(":"), part(13, "00"), F.lit(":"), part(14, "00"),
     )
-    readable = F.when(t.rlike(_COMMON), t).when(t.rlike(_ISO), rebuilt)
-    instant = readable.try_cast("timestamp")
+    return F.when(t.rlike(_ISO), text)
+
+
+def parse_timestamp(text: Column | str, default_tz: str = "UTC") -> Column:
+    """ISO-8601 text to a UTC timestamp; text without offset is in ``default_tz``; bad text is null."""
+    t = _col(text)
+    # The less common forms are rewritten in a lambda, which keeps the generated method short.
+    rare = F.element_at(F.transform(F.array(t), _rebuilt), 1)
+    instant = F.when(t.rlike(_COMMON), t).when(t.isNotNull(), rare).try_cast("timestamp")
     if default_tz.upper() == "UTC":
         return instant
     return F.when(t.rlike(_HAS_OFFSET), instant).otherwise(F.to_utc_timestamp(instant, default_tz))
