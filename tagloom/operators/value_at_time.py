@@ -12,7 +12,7 @@ of all rows shrinks to at most one row per cell in every map task. Grid instants
 then generated between consecutive non-empty cells instead of being joined to them.
 Cells are processed in blocks of bounded size, each seeded with the last sample of
 earlier blocks and the first of later ones, so that a long history of one tag is
-spread over many tasks.
+spread over many tasks, as many as the number of instants calls for.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from tagloom.operators.grid import GridSpec
 
 KEYS = ["site", "server", "tag"]
 CELLS_PER_BLOCK = 16_384
+POINTS_PER_TASK = 250_000
+MOST_TASKS = 50_000
 
 # A sample is kept as three plain columns, not as a struct: buffers of fixed width let
 # Spark aggregate by hash, without sorting the raw samples.
@@ -148,6 +150,10 @@ def value_at_time(
         _block_edges(cells, wanted, grid, cells_per_block)
     )
 
+    # Few rows can stand for many instants, so the number of tasks follows the output.
+    tasks = min(-(-wanted.count() * grid.points // POINTS_PER_TASK), MOST_TASKS)
+    rows = rows.repartition(max(tasks, 1), *KEYS, "block")
+
     # Edge rows share a cell number with no other row of their block. The single rows of
     # the blocks before and after the grid have no successor and go no further.
     order = Window.partitionBy(*KEYS, "block").orderBy("cell")

@@ -19,6 +19,7 @@ from tagloom.operators.grid import GridSpec
 from tagloom.operators.latest import snapshot
 from tagloom.operators.value_at_time import KEYS, value_at_time
 from tagloom.schema import READING_SCHEMA
+from tagloom.session import drop_scratch
 
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("site", T.StringType()),
@@ -67,6 +68,8 @@ class GridStream:
         newest = snapshot(samples)
         newest.write.mode("overwrite").parquet(self._carry_path(batch))
         newest = self._spark.read.schema(READING_SCHEMA).parquet(self._carry_path(batch))
+        # A repeated batch needs the table before its own, and none older.
+        drop_scratch(self._spark, self._carry_path(batch - 2))
 
         wanted = self._tags.select(*KEYS)
         done = carried.select(*KEYS, F.col("ts").alias("done_ts"))
