@@ -3,8 +3,11 @@
 Prose of a language that a vocabulary knows takes few tokens per character, rarely falls back to
 single bytes, and uses its tokens neither over and over nor all alike. Each document is encoded
 by the pieces of a public SentencePiece vocabulary (word by word, punctuation after a letter
-apart), and three figures are held against bands that depend on its main script: characters per
-token, share of byte tokens, and entropy of its tokens over the largest for their number.
+apart), and three figures are held against bands: characters per token, share of byte tokens, and
+entropy of its tokens over the largest for their number. Wide bands depend on the main script. A
+narrower one for characters per token is measured: within a language (or script, where no language
+is given) documents may lie below the median by some multiples of the distance between median and
+lower quartile, more for short documents and small languages, whose figures vary more.
 
 A document is first judged by plain counts: it fails with fewer than 50 words, or with more than
 half of its words in three-word windows that occur again. A null text has no words, so it fails.
@@ -150,14 +153,19 @@ FIGURES = (
 
 
 def figures(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns, if not given) and the figures of every whole text."""
-    others = docs.columns if keep is None else keep
-    names = [*others, *[c.split()[0] for c in FIGURES.split(", ")]]
+    """``keep`` (all columns, if not given) and the figures of every whole text. A column with the
+    name of a figure gives way to it."""
+    made = [c.split()[0] for c in FIGURES.split(", ")]
+    others = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    names = [*others, *made]
+    # A kept text is sent once.
+    sent = others if text in others else [*others, text]
+    place = sent.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, single = piece_cache(vocabulary)
-        for batch in slices(batches, len(others), 1 << 20):
-            texts = batch.column(len(others))
+        for batch in slices(batches, place, 1 << 20):
+            texts = batch.column(place)
             ends, data = text_buffers(plain(texts))
             words, of = word_hashes(texts, fold=False)
             chars = _sums(((data & 0xC0) != 0x80) & ~BLANK[data], ends)
@@ -181,11 +189,19 @@ def figures(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *found], names=names)
 
     head = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in others)
-    return docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").alias("_text")).mapInArrow(run, head + FIGURES)
+    return docs.select(*[F.col(f"`{c}`") for c in sent]).mapInArrow(run, head + FIGURES)
 
 
-def judge(measured: DataFrame, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
-    """Adds base_failed and kept to the figures."""
+#: How far below the median characters per token may lie, in standard deviations as estimated
+#: from the lower quartile; tokens and documents at which that is widened by the root of two.
+BELOW, FEW_TOKENS, FEW_DOCS = 3.5, 1000, 400
+
+
+def judge(
+    measured: DataFrame, language: str | None = None, bands: dict[str, tuple[float, float, float, float]] = BANDS
+) -> DataFrame:
+    """Adds base_failed and kept to the figures. ``measured`` is read twice, once for the medians
+    of all its documents that do not fail the plain counts; there is a row per language of those."""
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     fits = F.lit(False)
     for script, (least, most, byte_share, entropy) in bands.items():
@@ -193,4 +209,13 @@ def judge(measured: DataFrame, bands: dict[str, tuple[float, float, float, float
             (F.col("script") == script) & F.col("chars_per_token").between(least, most)
             & (F.col("byte_share") <= byte_share) & (F.col("entropy") >= entropy)
         )
-    return measured.withColumns({"base_failed": failed, "kept": ~failed & fits})
+    group = F.coalesce(F.col(f"`{language}`"), F.col("script")) if language else F.col("script")
+    judged = measured.withColumns({"base_failed": failed, "_group": group})
+    quartiles = F.percentile_approx("chars_per_token", F.array(F.lit(0.5), F.lit(0.25)), 10_000)
+    usual = judged.where("NOT base_failed").groupBy("_group").agg(quartiles.alias("q"), F.count(F.lit(1)).alias("n"))
+    median = F.col("q")[0]
+    deviation = F.greatest((median - F.col("q")[1]) / 0.6745, 0.01 * median)
+    wider = F.sqrt(1 + FEW_TOKENS / F.greatest(F.col("n_tokens"), F.lit(1)) + FEW_DOCS / F.col("n"))
+    near = F.col("chars_per_token") >= median - BELOW * deviation * wider
+    kept = ~F.col("base_failed") & fits & F.coalesce(near, F.lit(True))
+    return judged.join(usual, "_group", "left").withColumn("kept", kept).drop("_group", "q", "n")

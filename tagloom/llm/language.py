@@ -149,7 +149,9 @@ def shares(texts: pa.Array, model: Model) -> np.ndarray:
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns, and lang_pred, score, languages (those of the chosen set with their shares)."""
+    """All columns, and lang_pred, score, languages (those of the chosen set with their shares);
+    columns with one of these names give way."""
+    docs = docs.drop("lang_pred", "score", "languages")
     place = docs.columns.index(text)
     names = [*docs.columns, "lang_pred", "score", "languages"]
 

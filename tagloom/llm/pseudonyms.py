@@ -263,7 +263,9 @@ def replace(text: str, permute: Permutation) -> tuple[str, list[str]]:
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", backwards: bool = False) -> DataFrame:
-    """All columns, the text with pseudonyms, and ``replaced``: the kinds found, in order of place."""
+    """All columns, the text with pseudonyms, and ``replaced``: the kinds found, in order of place.
+    A column of that name gives way."""
+    docs = docs.drop("replaced")
     place, names = docs.columns.index(text), [*docs.columns, "replaced"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

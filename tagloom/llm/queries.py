@@ -59,11 +59,13 @@ def op6_chat_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertile(table(spark, sf_dir, "documents"), ["doc_id"])
+    return fertile(table(spark, sf_dir, "documents"), ["doc_id", "lang"])
 
 
 def fertile(docs: DataFrame, keep: list[str]) -> DataFrame:
-    return fertility.judge(fertility.figures(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=keep))
+    path = scratch_path(docs.sparkSession, "figures")
+    fertility.figures(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=keep).write.parquet(path)
+    return fertility.judge(docs.sparkSession.read.parquet(path), language="lang")
 
 
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
