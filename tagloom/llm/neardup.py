@@ -12,7 +12,9 @@ with a probability under 1e-7; every further level costs a tree about half of wh
 
 Comparing takes two steps, so that a group of k near copies does not cost k*k pairs. First each
 member is compared with the smallest of its node. Then only pairs that these links have not joined
-into one component yet are compared. Candidates need 0.56 of the low bytes of their minwise
+into one component yet are compared, inside the task that holds their node: what leaves it is the
+members that have a partner, and then the links that join components, never the pairs. A pair that
+shares several first-level nodes is looked at in the first one. Candidates need 0.56 of the low bytes of their minwise
 tokens in common (five standard deviations below 0.75); links are then confirmed on the full sets.
 Nodes that cannot be branched any further are compared in blocks, pair of blocks by pair of blocks.
 
@@ -84,9 +86,17 @@ def minwise(found: np.ndarray) -> np.ndarray:
     return (mix(least) & np.uint64(0xFFFFFFFF)).astype("<u4")
 
 
-def describe(docs: DataFrame) -> DataFrame:
-    """Per document: n_shingles, a 128-bit hash of the set in two longs, minwise tokens, and as
-    ``key`` the low byte of each."""
+def _roots(trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Roots of the trees; tree and position of every first branch."""
+    root = mix(np.arange(1, trees + 1, dtype=np.uint64))
+    tree, position = np.nonzero(_chosen(root))
+    return root, tree, position
+
+
+def describe(docs: DataFrame, trees: int) -> DataFrame:
+    """Per document: n_shingles, a 128-bit hash of the set in two longs, minwise tokens, as ``key``
+    the low byte of each, and as ``roots`` those at the positions of the first branches."""
+    position = _roots(trees)[2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, 1 << 20):
@@ -99,11 +109,13 @@ def describe(docs: DataFrame) -> DataFrame:
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(h1.view(np.int64)),
                 pa.array(h2.view(np.int64)), pa.array([None if t is None else t.tobytes() for t in tokens], pa.binary()),
                 pa.array([None if t is None else t.astype(np.uint8).tobytes() for t in tokens], pa.binary()),
+                pa.array([None if t is None else t[position].tobytes() for t in tokens], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "h1", "h2", "tokens", "key"])
+            names = ["doc_id", "n_shingles", "h1", "h2", "tokens", "key", "roots"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, tokens binary, key binary"
+        run, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, tokens binary, key binary, roots binary"
     )
 
 
@@ -122,11 +134,11 @@ def _child(node: np.ndarray, position: np.ndarray, token: np.ndarray) -> np.ndar
 
 
 def branch(rows: DataFrame, roots: int = 0) -> DataFrame:
-    """``rows(rep, tokens[, node])`` -> ``(node, rep)`` one level down. ``roots``: the number of
-    trees whose first level to make; without it, each row branches at its node."""
+    """``rows(rep, tokens[, node])`` -> ``(node, rep, place)`` one level down. ``roots``: the number
+    of trees whose first level to make, whose branches ``place`` numbers; without it, each row
+    branches at its node, and place is -1."""
 
-    root = mix(np.arange(1, roots + 1, dtype=np.uint64))
-    tree, position = np.nonzero(_chosen(root)) if roots else (None, None)
+    root, tree, position = _roots(roots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -136,14 +148,17 @@ def branch(rows: DataFrame, roots: int = 0) -> DataFrame:
                 if roots:
                     child = _child(root[tree], position, tokens[:, position]).ravel()
                     row = np.repeat(np.arange(len(reps)), len(position))
+                    place = np.tile(np.arange(len(position)), len(reps))
                 else:
                     node = batch.column(2).to_numpy().view(np.uint64)
                     row, places = np.nonzero(_chosen(node))
                     child = _child(node[row], places, tokens[row, places])
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(reps[row])], names=["node", "rep"])
+                    place = np.full(len(row), -1)
+                columns = [pa.array(child.view(np.int64)), pa.array(reps[row]), pa.array(place.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "rep", "place"])
 
     columns = ["rep", "tokens"] if roots else ["rep", "tokens", "node"]
-    return rows.select(*columns).mapInArrow(run, "node bigint, rep bigint")
+    return rows.select(*columns).mapInArrow(run, "node bigint, rep bigint, place int")
 
 
 def _similar(pairs: DataFrame) -> DataFrame:
@@ -161,49 +176,103 @@ def _similar(pairs: DataFrame) -> DataFrame:
     return sized.select("a", "b", "ka", "kb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _inside_nodes(rows: DataFrame) -> DataFrame:
-    """Distinct candidate pairs of a node whose components differ.
-
-    ``rows(node, i, j, block, rep, comp, n, key)``: blocks i and j of one node, compared with each
-    other, or, where i = j, with itself. A task holds one pair of blocks.
-    """
+LEAF = (
+    "node bigint, i int, j int, block int, rep bigint, comp bigint, n bigint, place int, large bigint, key binary, roots binary"
+)
+
+
+class _Leaf:
+    """The members of a node, or of two blocks of one, and the pairs to look at."""
+
+    def __init__(self, group: pa.Table):
+        value = lambda c: group.column(c).to_numpy()
+        bytes_of = lambda c, kind: np.frombuffer(b"".join(group.column(c).to_pylist()), kind).reshape(group.num_rows, -1)
+        self.rep, self.n, self.block = (value(c) for c in ("rep", "n", "block"))
+        self.comp = value("comp").copy()
+        self.i, self.j, self.place = (value(c)[0] for c in ("i", "j", "place"))
+        self.keys = bytes_of("key", np.uint8)
+        # Earlier first-level nodes that a pair may share. It is looked at there, and only there,
+        # unless that node was too large and branched further.
+        earlier = np.arange(max(self.place, 0))
+        self.roots = bytes_of("roots", "<u4")[:, : len(earlier)]
+        self.small = (value("large")[:, None] >> earlier[None, :] & 1) == 0
+
+    def partners(self, x: int) -> np.ndarray:
+        """Later members of other components that are similar enough by size and keys."""
+        if self.i == self.j:
+            other = np.arange(x + 1, len(self.rep))
+        elif self.block[x] == self.i:
+            other = np.flatnonzero(self.block == self.j)
+        else:
+            return np.zeros(0, np.int64)
+        other = other[self.comp[other] != self.comp[x]]
+        other = other[100 * np.minimum(self.n[other], self.n[x]) >= SIMILAR * np.maximum(self.n[other], self.n[x])]
+        other = other[(self.keys[other] == self.keys[x]).sum(axis=1) >= AGREE]
+        if self.place > 0 and len(other):
+            other = other[~((self.roots[other] == self.roots[x]) & self.small[x]).any(axis=1)]
+        return other
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted rows, one table per (node, i, j)."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = np.stack([batch.column(c).to_numpy() for c in ("node", "i", "j")])
+        cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if last is not None and tuple(ids[:, a]) != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            last = tuple(ids[:, a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def with_partners(rows: DataFrame) -> DataFrame:
+    """Of the members of leaves those that have anyone to be compared with; no pair leaves a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def compare() -> Iterator[pa.RecordBatch]:
-            group = pa.Table.from_batches(held).combine_chunks()
-            value = lambda c: group.column(c).to_numpy()
-            rep, comp, n, block, i, j = (value(c) for c in ("rep", "comp", "n", "block", "i", "j"))
-            keys = np.frombuffer(b"".join(group.column("key").to_pylist()), np.uint8).reshape(-1, POSITIONS)
-            for x in range(len(rep)):
-                other = np.arange(x + 1, len(rep)) if i[0] == j[0] else np.flatnonzero(block == j[0]) if block[x] == i[0] else []
-                if not len(other):
-                    continue
-                other = other[comp[other] != comp[x]]
-                other = other[100 * np.minimum(n[other], n[x]) >= SIMILAR * np.maximum(n[other], n[x])]
-                other = other[(keys[other] == keys[x]).sum(axis=1) >= AGREE]
+        for group in _groups(batches):
+            leaf, keep = _Leaf(group), np.zeros(group.num_rows, bool)
+            for x in range(group.num_rows):
+                other = leaf.partners(x)
                 if len(other):
-                    a, b = np.minimum(rep[other], rep[x]), np.maximum(rep[other], rep[x])
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = np.stack([batch.column(c).to_numpy() for c in ("node", "i", "j")])
-            cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                if last is not None and tuple(ids[:, a]) != last:
-                    yield from compare()
-                    held.clear()
-                last = tuple(ids[:, a])
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield from compare()
-
-    dealt = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+                    keep[x] = True
+                    keep[other] = True
+            yield from group.filter(pa.array(keep)).to_batches()
+
+    return rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(run, LEAF)
+
+
+def links_inside(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between different components inside leaves, by full sets: no more of a leaf than
+    join its components."""
+    needed = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS // 10 else rows
+    texts = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("rep")).drop("doc_id")
+    columns = [c.split()[0] for c in LEAF.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            leaf = _Leaf(group)
+            sets: list[np.ndarray] = []
+            for part in slices(iter(group.select(["text"]).to_batches()), 0, 1 << 20):
+                sets += shingle_sets(part.column(0))
+            found = []
+            for x in range(group.num_rows):
+                for y in leaf.partners(x).tolist():
+                    if leaf.comp[y] != leaf.comp[x] and _linked(sets[x], sets[y]):
+                        found.append((leaf.rep[x], leaf.rep[y]))
+                        leaf.comp[leaf.comp == leaf.comp[y]] = leaf.comp[x]
+            if found:
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    dealt = texts.select(*columns, "text").repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "rep")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -269,10 +338,10 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, node_size: int = NODE_S
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    described = stored(describe(docs), "described")
+    described = stored(describe(docs, trees), "described")
     named = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = named.groupBy("h1", "h2", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"), F.first("key").alias("key")
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("tokens", "key", "roots")]
     )
     reps = stored(classes, "classes")
 
@@ -281,7 +350,7 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, node_size: int = NODE_S
     shared = first.groupBy("node").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("size"))
     nodes = stored(first.join(shared.where("leader <> last").drop("last"), "node"), "nodes")
 
-    keys = reps.select("rep", F.col("n_shingles").alias("n"), "key")
+    keys = reps.select("rep", F.col("n_shingles").alias("n"), "key", "roots")
 
     # Step one: every member with the smallest of its node.
     star = nodes.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
@@ -293,11 +362,11 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, node_size: int = NODE_S
     # Step two: inside nodes that still hold several components, all pairs of different ones.
     def parted(rows: DataFrame) -> DataFrame:
         of = rows.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        of = of.select("node", "rep", F.coalesce("component", "rep").alias("comp"))
+        of = of.select("node", "rep", "place", F.coalesce("component", "rep").alias("comp"))
         sizes = of.groupBy("node").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("size"))
         return of.join(sizes.where("c0 <> c1").select("node", "size"), "node")
 
-    open_nodes = stored(parted(nodes.select("node", "rep")), "parted")
+    open_nodes = stored(parted(nodes.select("node", "rep", "place")), "parted")
     small = [open_nodes.where(F.col("size") <= node_size)]
     large = open_nodes.where(F.col("size") > node_size)
     for _ in range(depth):
@@ -312,18 +381,20 @@ def near_duplicates(docs: DataFrame, trees: int = TREES, node_size: int = NODE_S
     leaves = small[0]
     for more in small[1:]:
         leaves = leaves.union(more)
+    branched = open_nodes.where(F.col("size") > node_size)
+    branched = branched.groupBy("rep").agg(F.expr("bit_or(shiftleft(1L, place))").alias("large"))
     blocks = F.ceil(F.col("size") / node_size).cast("int")
-    dealt = leaves.join(keys, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    dealt = leaves.join(keys, "rep").join(branched, "rep", "left").fillna(0, ["large"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select(
-        "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n", "key"
-    )
-    further = stored(confirm(docs, stored(_inside_nodes(dealt), "pairs")), "links")
+    i, j = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    dealt = dealt.select("node", i, j, "block", "rep", "comp", "n", "place", "large", "key", "roots")
+    further = stored(links_inside(stored(with_partners(dealt), "partners"), docs), "links")
 
     merged = components(links.union(further))
     of_class = reps.select("h1", "h2", "n_shingles", "rep").join(merged.withColumnRenamed("node", "rep"), "rep", "left")
     of_class = of_class.select("h1", "h2", "n_shingles", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component"))
-    placed = described.drop("tokens", "key").join(of_class, ["h1", "h2", "n_shingles"], "left")
+    placed = described.drop("tokens", "key", "roots").join(of_class, ["h1", "h2", "n_shingles"], "left")
     alone = F.col("doc_id").isNull()
     component = F.when(~alone, F.coalesce("component", "doc_id"))
     return placed.select(
