@@ -4,7 +4,8 @@ Prose of a language that a vocabulary knows takes few tokens per character, rare
 single bytes, and uses its tokens neither over and over nor all alike. Each document is encoded
 by the pieces of a public SentencePiece vocabulary (word by word, punctuation after a letter
 apart), and three figures are held against bands: characters per token, share of byte tokens, and
-entropy of its tokens over the largest for their number. Wide bands depend on the main script. A
+entropy of its tokens over the largest for their number (a thousand at most, since long texts
+repeat common words). Wide bands depend on the main script. A
 narrower one for characters per token is measured: within a language (or script, where no language
 is given) documents may lie below the median by some multiples of the distance between median and
 lower quartile, more for short documents and small languages, whose figures vary more.
@@ -131,7 +132,7 @@ def _repeated_lines(text: str | None) -> int:
 
 
 def _entropy(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Entropy of each text's tokens, over the largest that so many tokens can have."""
+    """Entropy of each text's tokens, over the largest that so many, or a thousand, can have."""
     out = np.zeros(len(starts) - 1)
     small = ids.astype(np.uint16) if len(ids) and ids.max() < 1 << 16 else ids
     for d, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
@@ -142,7 +143,8 @@ def _entropy(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         order = np.sort(small[a:b], kind="stable")
         cuts = np.flatnonzero(order[1:] != order[:-1]) + 1
         counts = np.diff(np.concatenate([[0], cuts, [n]]))
-        out[d] = 1.0 - float((counts * np.log(counts)).sum()) / (n * np.log(n))
+        entropy = np.log(n) - float((counts * np.log(counts)).sum()) / n
+        out[d] = entropy / np.log(min(n, 1000))
     return out
 
 
@@ -194,7 +196,7 @@ def figures(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str
 
 #: How far below the median characters per token may lie, in standard deviations as estimated
 #: from the lower quartile; tokens and documents at which that is widened by the root of two.
-BELOW, FEW_TOKENS, FEW_DOCS = 3.5, 1000, 400
+BELOW, FEW_TOKENS, FEW_DOCS = 3.5, 2000, 400
 
 
 def judge(
