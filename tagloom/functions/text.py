@@ -67,7 +67,8 @@ def _shortest_text(v: Column) -> Column:
         return F.format_string(f"%.{n}e", v).cast("double") == v
 
     needed = F.when(digits(14), "%.14e").when(digits(15), "%.15e").otherwise("%.16e")
-    scientific = F.call_function("format_string", needed, v)
+    large = (size >= 1e16) & (size < 1e34)
+    scientific = F.when(large, _large_text(v)).otherwise(F.call_function("format_string", needed, v))
     laid_out = F.when(
         (size >= 1e-4) & (size < 1e16), scientific.cast("decimal(38,21)").cast("string")
     ).otherwise(scientific)
@@ -81,6 +82,32 @@ def _shortest_text(v: Column) -> Column:
     )
 
 
+def _large_text(v: Column) -> Column:
+    """Scientific form of a whole number of 1e16 up to 1e34: the fewest digits that read back,
+    rounded from the exact value. The JVM's own formatting rounds its text instead."""
+    size = F.least(F.greatest(F.abs(v), F.lit(1e16)), F.lit(9e33))
+    # size = q * 2^m, both whole: m is at most 61.
+    m = F.greatest(F.lit(0), F.floor(F.log2(size)).cast("int") - 53)
+    q = (size / F.pow(F.lit(2.0), m)).cast("bigint").cast("decimal(19,0)")
+    power = F.call_function("shiftleft", F.lit(1).cast("bigint"), m).cast("decimal(19,0)")
+    exact = (q * power).cast("decimal(38,0)").cast("string")
+
+    def rounded(n: int) -> Column:
+        up = F.substring(exact, n + 1, 1) >= "5"
+        return (F.substring(exact, 1, n).cast("bigint") + up.cast("bigint")).cast("string")
+
+    def laid_out(n: int) -> Column:
+        head, more = rounded(n), F.length(exact) - n
+        power_of_ten = (F.length(head) - 1 + more).cast("string")
+        return F.concat(F.substring(head, 1, 1), F.lit("."), F.substring(head, 2, 20), F.lit("e+"), power_of_ten)
+
+    def reads_back(n: int) -> Column:
+        return laid_out(n).cast("double") == size
+
+    fewest = F.when(reads_back(15), laid_out(15)).when(reads_back(16), laid_out(16)).otherwise(laid_out(17))
+    return F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")), fewest)
+
+
 def decode_state_name(raw: Column | str) -> Column:
     """State names arrive as bytes: UTF-8 where valid, otherwise Latin-1; blank becomes null."""
     c = _col(raw)

@@ -1,10 +1,11 @@
 """Left joins of a large fact with a dimension, safe for hot keys.
 
 A dimension whose measured size is within a bound is broadcast, so the fact is not
-shuffled at all. Beyond the bound the fact is spread over salts and the dimension is
-repeated once per salt, so that no key, however hot, lands in one task. Fact rows
-whose key is null cannot match; they are spread over all partitions instead of
-gathering in one.
+shuffled at all. Beyond the bound the fact's rows per key are counted (reduced before
+the shuffle); a key with more than ``hot_rows`` is spread over as many salts as it has
+times that, and only its dimension rows are repeated. All other keys join as they are.
+Fact rows whose key is null cannot match; they are spread over all partitions instead
+of gathering in one.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import materialize
+
 BROADCAST_BYTES = 128 * 1024 * 1024
-SALTS = 64
-_SALT = "__salt"
+HOT_ROWS = 2_000_000
+_SALT, _ROWS = "__salt", "__rows"
 
 
 def measured_bytes(dim: DataFrame) -> int:
@@ -37,7 +40,7 @@ def enrich(
     spread_by: list[str],
     how: str = "left",
     broadcast_limit: int | None = None,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``dim`` (unique on ``keys``) to ``fact``; ``spread_by`` varies within a hot key."""
     if fits_broadcast(dim, broadcast_limit):
@@ -46,6 +49,11 @@ def enrich(
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    salted_fact = fact.withColumn(_SALT, F.when(no_key, spread).otherwise(F.pmod(spread, F.lit(salts))))
-    salted_dim = dim.withColumn(_SALT, F.explode(F.sequence(*[F.lit(n).cast("bigint") for n in (0, salts - 1)])))
-    return salted_fact.join(salted_dim, [*keys, _SALT], how).drop(_SALT)
+    # At most one hot key per ``hot_rows`` rows of the fact.
+    hot = fact.where(~no_key).groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)).where(F.col(_ROWS) > hot_rows)
+    hot = materialize(hot.select(*keys, F.ceil(F.col(_ROWS) / hot_rows).alias(_ROWS)))
+    small = F.broadcast(hot) if fits_broadcast(hot, broadcast_limit or None) else hot
+    salts = F.coalesce(F.col(_ROWS), F.lit(1))
+    salted_fact = fact.join(small, keys, "left").withColumn(_SALT, F.when(no_key, spread).otherwise(F.pmod(spread, salts)))
+    salted_dim = dim.join(small, keys, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    return salted_fact.drop(_ROWS).join(salted_dim.drop(_ROWS), [*keys, _SALT], how).drop(_SALT)

@@ -1,8 +1,11 @@
 """Idempotent merge of staged events into a day-partitioned table.
 
 New events are inserted; an existing event is updated only where it differs; nothing
-is deleted. The plan touches the staged days only, and writes only the (day, site)
-partitions in which a row changed.
+is deleted. The plan touches the staged days and sites only, and writes only the (day, site)
+partitions in which a row changed, as a new version of the table (see ``sinks.versions``).
+
+An event without site, tag or timestamp has no key: it is set aside with its reason, neither
+merged nor dropped without a word.
 """
 
 from __future__ import annotations
@@ -10,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tagloom.functions import partition_date
 from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA, MERGE_UPDATED_COLUMNS, TABLE_COLUMNS
 from tagloom.session import drop_scratch, scratch_path
+from tagloom.sinks.versions import INSERT, KEEP, UPDATE, merge_into, read_or_empty, read_versions
 
 TABLE_SCHEMA = T.StructType([
     *EVENT_SCHEMA.fields,
@@ -22,7 +25,34 @@ TABLE_SCHEMA = T.StructType([
     T.StructField("event_date", T.DateType()),
 ])
 
-KEEP, INSERT, UPDATE = "keep", "insert", "update"
+REJECT = "reject"
+
+
+def with_reason(events: DataFrame) -> DataFrame:
+    """Adds ``reason``: why an event cannot be stored by its key, null where it can."""
+    reason = (
+        F.when(F.col("site").isNull() | (F.col("site") == ""), "NO_SITE")
+        .when(F.col("tag").isNull(), "NO_TAG")
+        .when(F.col("timestamp").isNull(), "NO_TIMESTAMP")
+        .when(F.col("event_id").isNull(), "NO_EVENT_ID")
+    )
+    return events.withColumn("reason", reason)
+
+
+def set_aside(spark: SparkSession, path: str, batch: DataFrame) -> int:
+    """Write the rejected rows of ``batch``, which has a ``reason``, to ``<path>/_rejected`` and
+    return their number. The folder is named by their content: a repeated batch replaces its own."""
+    bad = batch.where("reason IS NOT NULL").select("reason", *EVENT_COLUMNS)
+    n, mark = bad.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*bad.columns))).first()
+    if n:
+        bad.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_rejected/batch={n}-{mark & (1 << 64) - 1:x}")
+    return n
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """What was set aside, with its reason."""
+    schema = T.StructType([T.StructField("reason", T.StringType()), *EVENT_SCHEMA.fields, T.StructField("batch", T.StringType())])
+    return read_or_empty(spark, f"{path.rstrip('/')}/_rejected", schema).drop("batch")
 
 
 def unique_staging(staging: DataFrame, on_conflict: str = "error", newest_by: list[str] | None = None) -> DataFrame:
@@ -35,7 +65,8 @@ def unique_staging(staging: DataFrame, on_conflict: str = "error", newest_by: li
     if on_conflict == "latest" and not order:
         raise ValueError("on_conflict='latest' needs newest_by")
     row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *rest)
-    grouped = staging.groupBy("event_id").agg(F.max(row).alias("hi"), F.min(row).alias("lo"))
+    # Rows without a key are no copies of each other: the caller has set them aside.
+    grouped = staging.where("event_id IS NOT NULL").groupBy("event_id").agg(F.max(row).alias("hi"), F.min(row).alias("lo"))
     if on_conflict == "error":
         problem = F.concat(F.lit("conflicting staged rows for event "), F.col("event_id"))
         picked = F.when(F.col("hi").eqNullSafe(F.col("lo")), F.col("hi")).otherwise(F.raise_error(problem))
@@ -54,9 +85,10 @@ def merge_rows(target: DataFrame, staging: DataFrame, compare: str = "value", no
     if compare not in ("value", "all"):
         raise ValueError("compare must be 'value' or 'all'")
     now = F.current_timestamp() if now is None else now
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in TABLE_COLUMNS])
+    # Which side a row is from is marked, not read off a key that may be null.
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in TABLE_COLUMNS], F.lit(True).alias("t_here"))
     s = staging.withColumn("event_date", partition_date("timestamp")).select(
-        *[F.col(c).alias(f"s_{c}") for c in [*EVENT_COLUMNS, "event_date"]]
+        *[F.col(c).alias(f"s_{c}") for c in [*EVENT_COLUMNS, "event_date"]], F.lit(True).alias("s_here")
     )
     both = t.join(
         s, (F.col("t_event_id") == F.col("s_event_id")) & (F.col("t_event_date") == F.col("s_event_date")), "full_outer"
@@ -66,8 +98,8 @@ def merge_rows(target: DataFrame, staging: DataFrame, compare: str = "value", no
     for c in compared:
         changed = changed | ~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}"))
     action = (
-        F.when(F.col("s_event_id").isNull(), KEEP)
-        .when(F.col("t_event_id").isNull(), INSERT)
+        F.when(F.col("s_here").isNull(), KEEP)
+        .when(F.col("t_here").isNull(), INSERT)
         .when(changed, UPDATE)
         .otherwise(KEEP)
     )
@@ -88,12 +120,7 @@ def merge_rows(target: DataFrame, staging: DataFrame, compare: str = "value", no
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The event table; empty where nothing was written yet."""
-    try:
-        return spark.read.schema(TABLE_SCHEMA).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], TABLE_SCHEMA)
+    return read_versions(spark, path, TABLE_SCHEMA)
 
 
 def reconcile(
@@ -105,40 +132,19 @@ def reconcile(
     newest_by: list[str] | None = None,
     max_records_per_file: int = 0,
 ) -> dict[str, int]:
-    """Merge ``staging`` into the table at ``path`` and return the number of rows per action.
+    """Merge ``staging`` into the table at ``path`` and return the number of rows per action:
+    insert, update, keep (of the partitions touched), and reject (see :func:`read_rejected`).
 
-    The merged days are first written to the shared folder, then copied over their
-    partitions: the copy never reads what it replaces, and an interrupted run is
-    repaired by running it again, because the merge is idempotent.
+    An interrupted run changes nothing that can be read; running it again merges the same rows.
     """
-    from tagloom.sinks.tables import overwrite_partitions
-
     staged_path = scratch_path(spark, "staged")
-    unique_staging(staging, on_conflict, newest_by).withColumn(
-        "event_date", partition_date("timestamp")
-    ).write.parquet(staged_path)
+    checked = with_reason(staging)
+    good = unique_staging(checked.where("reason IS NULL"), on_conflict, newest_by)
+    good.withColumn("event_date", partition_date("timestamp")).write.parquet(staged_path)
+    rejected = set_aside(spark, path, checked)
     staged = spark.read.parquet(staged_path)
-
-    # At most one row per calendar day and site: partition names, not data.
-    touched = staged.select("event_date", "site").distinct().collect()
-    if not touched:
-        drop_scratch(spark, staged_path)
-        return {}
-    target = read_table(spark, path).where(
-        F.col("event_date").isin([r["event_date"] for r in touched]) & F.col("site").isin([r["site"] for r in touched])
+    counts = merge_into(
+        spark, path, TABLE_SCHEMA, staged, lambda t, s: merge_rows(t, s.select(*EVENT_COLUMNS), compare), max_records_per_file
     )
-    merged_path = scratch_path(spark, "merged")
-    merge_rows(target, staged.select(*EVENT_COLUMNS), compare).write.parquet(merged_path)
-    merged = spark.read.parquet(merged_path)
-
-    tally = merged.groupBy("event_date", "site", "action").agg(F.count(F.lit(1)).alias("n")).collect()
-    counts: dict[str, int] = {}
-    for r in tally:
-        counts[r["action"]] = counts.get(r["action"], 0) + r["n"]
-    dirty = sorted({(r["event_date"], r["site"]) for r in tally if r["action"] != KEEP})
-    if dirty:
-        wanted = spark.createDataFrame(dirty, "event_date date, site string")
-        replaced = merged.drop("action").join(F.broadcast(wanted), ["event_date", "site"], "left_semi")
-        overwrite_partitions(replaced.select(*TABLE_COLUMNS), path, max_records_per_file=max_records_per_file)
-    drop_scratch(spark, staged_path, merged_path)
-    return counts
+    drop_scratch(spark, staged_path)
+    return {**counts, **({REJECT: rejected} if rejected else {})}

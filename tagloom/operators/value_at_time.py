@@ -29,17 +29,16 @@ from tagloom.operators.grid import GridSpec
 KEYS = ["site", "server", "tag"]
 CELLS_PER_BLOCK = 16_384
 POINTS_PER_TASK = 250_000
-MOST_TASKS = 50_000
 
 # A sample is kept as three plain columns, not as a struct: buffers of fixed width let
 # Spark aggregate by hash, without sorting the raw samples.
 _SIDES = ("first", "last")
-_FIELDS = {"t": "bigint", "istat": "bigint", "v": "double"}
-_COLUMNS = [f"{side}_{f}" for side in _SIDES for f in _FIELDS]
+FIELDS = {"t": "bigint", "istat": "bigint", "v": "double"}
+_COLUMNS = [f"{side}_{f}" for side in _SIDES for f in FIELDS]
 
 
 def _nothing(side: str) -> list[Column]:
-    return [F.lit(None).cast(t).alias(f"{side}_{f}") for f, t in _FIELDS.items()]
+    return [F.lit(None).cast(t).alias(f"{side}_{f}") for f, t in FIELDS.items()]
 
 
 def _earliest(side: str, alias: str, over: WindowSpec | None = None) -> list[Column]:
@@ -52,8 +51,8 @@ def _latest(side: str, alias: str, over: WindowSpec | None = None) -> list[Colum
 
 def _pick(by, side: str, alias: str, over: WindowSpec | None) -> list[Column]:
     # All three columns are picked by the same comparison, so they are of one sample.
-    picked = [by(F.col(f"{side}_{f}"), F.col(f"{side}_t")) for f in _FIELDS]
-    return [(c.over(over) if over is not None else c).alias(f"{alias}_{f}") for c, f in zip(picked, _FIELDS)]
+    picked = [by(F.col(f"{side}_{f}"), F.col(f"{side}_t")) for f in FIELDS]
+    return [(c.over(over) if over is not None else c).alias(f"{alias}_{f}") for c, f in zip(picked, FIELDS)]
 
 
 def range_samples(
@@ -111,8 +110,8 @@ def _block_edges(cells: DataFrame, tags: DataFrame, grid: GridSpec, size: int) -
     ).where((F.col("block") >= 0) & (F.col("block") < blocks))
     low = F.col("block") * F.lit(size) - 1
     high = F.least((F.col("block") + 1) * F.lit(size), F.lit(grid.points).cast("bigint"))
-    incoming = [F.col(f"in_{f}").alias(f"last_{f}") for f in _FIELDS]
-    outgoing = [F.col(f"out_{f}").alias(f"first_{f}") for f in _FIELDS]
+    incoming = [F.col(f"in_{f}").alias(f"last_{f}") for f in FIELDS]
+    outgoing = [F.col(f"out_{f}").alias(f"first_{f}") for f in FIELDS]
     edges = F.array(
         F.struct(low.alias("cell"), *_nothing("first"), *incoming),
         F.struct(high.alias("cell"), *outgoing, *_nothing("last")),
@@ -151,7 +150,7 @@ def value_at_time(
     )
 
     # Few rows can stand for many instants, so the number of tasks follows the output.
-    tasks = min(-(-wanted.count() * grid.points // POINTS_PER_TASK), MOST_TASKS)
+    tasks = -(-wanted.count() * grid.points // POINTS_PER_TASK)
     rows = rows.repartition(max(tasks, 1), *KEYS, "block")
 
     # Edge rows share a cell number with no other row of their block. The single rows of
@@ -161,24 +160,25 @@ def value_at_time(
         *KEYS,
         (F.col("cell") + 1).alias("lo"),
         F.lead("cell").over(order).alias("next_cell"),
-        *[F.col(f"last_{f}").alias(f"p_{f}") for f in _FIELDS],
-        *[F.lead(f"first_{f}").over(order).alias(f"n_{f}") for f in _FIELDS],
+        *[F.col(f"last_{f}").alias(f"p_{f}") for f in FIELDS],
+        *[F.lead(f"first_{f}").over(order).alias(f"n_{f}") for f in FIELDS],
         F.least(
             (F.col("block") + 1) * F.lit(cells_per_block), F.lit(grid.points).cast("bigint")
         ).alias("block_end"),
     ).where(F.col("next_cell").isNotNull())
     hi = F.least(F.col("next_cell"), F.col("block_end") - 1)
     points = gaps.where(F.col("lo") <= hi).select(
-        *KEYS, *[f"{side}_{f}" for side in ("p", "n") for f in _FIELDS], F.explode(F.sequence("lo", hi)).alias("cell")
+        *KEYS, *[f"{side}_{f}" for side in ("p", "n") for f in FIELDS], F.explode(F.sequence("lo", hi)).alias("cell")
     )
     at = points.withColumn("g", grid.instant_micros(F.col("cell")))
-    return at.select(*KEYS, F.timestamp_micros("g").alias("ts"), *_interpolate())
+    return at.select(*KEYS, F.timestamp_micros("g").alias("ts"), *interpolated())
 
 
-def _interpolate() -> list[Column]:
+def interpolated() -> list[Column]:
+    """rval, istat, status, no_data at ``g`` from the neighbours in ``p_*`` and ``n_*``."""
     g = F.col("g")
-    p = {f: F.col(f"p_{f}") for f in _FIELDS}
-    n = {f: F.col(f"n_{f}") for f in _FIELDS}
+    p = {f: F.col(f"p_{f}") for f in FIELDS}
+    n = {f: F.col(f"n_{f}") for f in FIELDS}
     exact = F.coalesce(n["t"] == g, F.lit(False))
     none = p["t"].isNull()
     hold = n["t"].isNull() | (p["istat"] < 0) | (n["istat"] < 0)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tagloom.functions import normalise_tag, parse_timestamp, partition_date, python_strip
 from tagloom.operators.enrich import enrich
 from tagloom.operators.latest import latest_per_key
 from tagloom.operators.resolve import valid_points
 from tagloom.session import drop_scratch, scratch_path
+from tagloom.sinks.versions import INSERT, KEEP, UPDATE, merge_into, read_versions
 
 _PAYLOAD = "site string, tag string, timestamp string, value string, istat string, wait string"
 
@@ -61,7 +61,7 @@ def parse_requests(messages: DataFrame) -> DataFrame:
         normalise_tag(p["tag"]).alias("tag"),
         parse_timestamp(p["timestamp"], "UTC").alias("ts"),
         _float_of(p["value"]).alias("value"),
-        F.when(p["istat"].isNull(), F.lit(0)).otherwise(p["istat"].try_cast("int")).cast("bigint").alias("istat"),
+        F.when(p["istat"].isNull(), F.lit(0)).otherwise(p["istat"].try_cast("bigint")).alias("istat"),
         F.when(p["wait"].isNull(), F.lit(True)).otherwise(p["wait"].try_cast("boolean")).alias("wait"),
     )
     reason = (
@@ -108,32 +108,31 @@ def archive_rows(requests: DataFrame) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(ARCHIVE_SCHEMA).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ARCHIVE_SCHEMA)
-
-
-def put_archive(spark: SparkSession, path: str, requests: DataFrame) -> None:
-    """Upsert accepted requests into the raw-reading table. Repeating a put changes nothing."""
+    return read_versions(spark, path, ARCHIVE_SCHEMA)
+
+
+def _merged_archive(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored and fresh rows by key; the later arrival wins, the stored one among equals."""
+    names = ARCHIVE_SCHEMA.fieldNames()
+    t = stored.select(F.struct(*names).alias("t"))
+    s = fresh.select(F.struct(*names).alias("s"))
+    same = F.lit(True)
+    for c in ("event_date", "site", "tag", "ts"):
+        same = same & (F.col("t")[c] == F.col("s")[c])
+    later = F.struct("s.arrival", "s.message_id") > F.struct("t.arrival", "t.message_id")
+    action = F.when(F.col("s").isNull(), KEEP).when(F.col("t").isNull(), INSERT).when(later, UPDATE).otherwise(KEEP)
+    both = t.join(s, same, "full_outer").withColumn("action", action)
+    row = F.when(F.col("action") == KEEP, F.col("t")).otherwise(F.col("s"))
+    return both.select("action", row.alias("row")).select("action", "row.*")
+
+
+def put_archive(spark: SparkSession, path: str, requests: DataFrame, max_records_per_file: int = 0) -> dict[str, int]:
+    """Upsert accepted requests into the raw-reading table; returns rows per action. Repeating a
+    put changes nothing, and one that dies leaves the table as it was. Partitions with a changed
+    row are rewritten; where rows are only new, they are added."""
     fresh_path = scratch_path(spark, "put")
     archive_rows(requests).withColumn("event_date", partition_date("ts")).write.parquet(fresh_path)
     fresh = spark.read.parquet(fresh_path)
-    days = [r["event_date"] for r in fresh.select("event_date").distinct().collect()]  # calendar days only
-    if not days:
-        drop_scratch(spark, fresh_path)
-        return
-    stored = read_archive(spark, path).where(F.col("event_date").isin(days))
-    both = stored.unionByName(fresh.select(*stored.columns))
-    merged_path = scratch_path(spark, "archive")
-    latest_per_key(both, ["site", "tag", "ts"], ["arrival", "message_id"]).write.parquet(merged_path)
-    (
-        spark.read.parquet(merged_path)
-        .hint("rebalance", "event_date", "site")
-        .sortWithinPartitions("event_date", "site", "tag", "ts")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "site").parquet(path)
-    )
-    drop_scratch(spark, fresh_path, merged_path)
+    counts = merge_into(spark, path, ARCHIVE_SCHEMA, fresh, _merged_archive, max_records_per_file)
+    drop_scratch(spark, fresh_path)
+    return counts

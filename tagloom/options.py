@@ -11,8 +11,6 @@ DEFAULT_TAG_PARTITION_SIZE = 500
 DEFAULT_BATCH_ROWS = 10_000
 DEFAULT_PUBLISH_RETRIES = 3
 DEFAULT_RETRY_SLEEP_SECONDS = 2.0
-DEFAULT_RETENTION_DAYS = 365
-DEFAULT_TIMEZONE = "America/Sao_Paulo"
 
 
 @dataclass(frozen=True)

@@ -5,19 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.operators.canonical import attach_site, canonical_events
+from tagloom.operators.day_summary import readings_for
 from tagloom.operators.grid import GridSpec
 from tagloom.operators.resolve import resolve_and_classify
 from tagloom.operators.value_at_time import value_at_time
+from tagloom.operators.writeback import parse_requests, put_archive, resolve_requests
 from tagloom.options import ReadOptions, effective_read_options
+from tagloom.session import drop_scratch, scratch_path
 from tagloom.sinks import choose_sink
 from tagloom.sinks.registry import with_retry
 from tagloom.sources.sites import select_sites
-from tagloom.streaming import event_batches, start
+from tagloom.streaming import GridStream, event_batches, request_batches, start
 
 
 def stored_events(readings: DataFrame, sites: DataFrame, points: DataFrame, states: DataFrame, **join_options) -> DataFrame:
@@ -50,22 +53,83 @@ def run_historical(
     read: ReadOptions | None = None,
     lookback: timedelta | None = None,
     lookahead: timedelta | None = None,
+    summary: DataFrame | None = None,
     **sink_options,
 ) -> int:
     """Sample a range for all wanted sites in one plan and deliver it. A failure anywhere
-    stops the job before anything is committed. Returns the number of events."""
-    publish = choose_sink("historical", sink, **sink_options)
+    stops the job before anything is committed. Returns the number of events delivered, as
+    counted on their way into the sink.
+
+    With the ``summary`` that ``day_summary`` keeps, only the days of the range are scanned; with
+    paddings, what lies within them; with neither, all history.
+    """
     options = effective_read_options(read, None)
+    publish = choose_sink("historical", sink, **{"max_records_per_file": options.batch_rows, **sink_options})
     chosen = select_sites(sites, wanted_sites)
     grid = GridSpec(start_at, end_at, options.interval_seconds, options.window_seconds)
-    events = sampled_events(readings, chosen, tags, points, states, grid, lookback, lookahead)
-    publish(events)
-    # Every tag has one event per grid instant, whatever its readings.
-    n_tags = tags.join(chosen.select("site"), "site", "left_semi").select("site", "tag").distinct().count()
-    return n_tags * grid.points
+    source = readings if summary is None else readings_for(readings, summary, grid)
+    events = sampled_events(source, chosen, tags, points, states, grid, lookback, lookahead)
+    return counted(publish)(events)
+
+
+def counted(publish: Callable[[DataFrame], None]) -> Callable[[DataFrame], int]:
+    """``publish``, returning how many rows it delivered. They are written to the shared folder
+    first, so that a sink which reads them more than once computes them once."""
+
+    def run(events: DataFrame) -> int:
+        spark = events.sparkSession
+        path = scratch_path(spark, "delivery")
+        seen = Observation("delivered")
+        events.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        publish(spark.read.parquet(path))
+        drop_scratch(spark, path)
+        return seen.get["n"]
+
+    return run
 
 
 def run_realtime(
+    stream: DataFrame,
+    tags: DataFrame,
+    load_sites: Callable[[], DataFrame],
+    load_points: Callable[[], DataFrame],
+    load_states: Callable[[], DataFrame],
+    start_at: datetime,
+    end_at: datetime,
+    sink: str,
+    checkpoint: str,
+    state_path: str,
+    wanted_sites: str | None = None,
+    read: ReadOptions | None = None,
+    once: bool = False,
+    hold: bool = True,
+    **sink_options,
+) -> tuple[StreamingQuery, GridStream]:
+    """The value of every tag at every grid instant of a live stream, as events into a realtime
+    sink; one query serves all sites. ``tags`` is (site, tag).
+
+    A tag that is silent for longer than the window holds its last value; one that was never
+    seen has no data, and one without a point the quality that says so. ``hold=False`` waits for
+    every tag instead. Call ``flush`` on the returned grid when the range is over.
+    """
+    options = effective_read_options(read, None)
+    publish = with_retry(
+        choose_sink("realtime", sink, **sink_options), options.publish_retries, options.retry_sleep_seconds
+    )
+    grid = GridSpec(start_at, end_at, options.interval_seconds, options.window_seconds)
+    spark = stream.sparkSession
+    chosen = select_sites(load_sites(), wanted_sites)
+    wanted = tags.join(chosen.select("site", "server"), "site").select("site", "server", "tag").distinct()
+
+    def deliver(sampled: DataFrame) -> None:
+        publish(stored_events(sampled, select_sites(load_sites(), wanted_sites), load_points(), load_states()))
+
+    after = timedelta(seconds=options.window_seconds) if hold else None
+    sampler = GridStream(spark, wanted, grid, state_path, after, deliver)
+    return start(stream, sampler.on_batch, checkpoint, None if once else options.interval_seconds), sampler
+
+
+def run_realtime_raw(
     stream: DataFrame,
     load_sites: Callable[[], DataFrame],
     load_points: Callable[[], DataFrame],
@@ -77,7 +141,7 @@ def run_realtime(
     once: bool = False,
     **sink_options,
 ) -> StreamingQuery:
-    """Events of a stream of readings into a realtime sink; one query serves all sites."""
+    """Every raw reading of a stream as an event, without a grid."""
     options = effective_read_options(read, None)
     publish = with_retry(
         choose_sink("realtime", sink, **sink_options), options.publish_retries, options.retry_sleep_seconds
@@ -86,5 +150,29 @@ def run_realtime(
     return start(stream, on_batch, checkpoint, None if once else options.interval_seconds)
 
 
-def count_by_quality(events: DataFrame) -> DataFrame:
-    return events.groupBy("site", "quality").agg(F.count(F.lit(1)).alias("n_events"))
+def run_writer(
+    messages: DataFrame,
+    load_sites: Callable[[], DataFrame],
+    load_points: Callable[[], DataFrame],
+    archive_path: str,
+    dead_letter_path: str,
+    checkpoint: str,
+    read: ReadOptions | None = None,
+    once: bool = False,
+) -> StreamingQuery:
+    """Write-back requests of a queue into the archive; refused ones into the dead-letter table.
+    ``messages`` is (message_id, arrival, data), from any stream source."""
+    options = effective_read_options(read, None)
+    on_batch = request_batches(load_sites, load_points, archive_path, dead_letter_path)
+    return start(messages, on_batch, checkpoint, None if once else options.interval_seconds)
+
+
+def write_request(
+    spark: SparkSession, body: str, sites: DataFrame, points: DataFrame, archive_path: str, message_id: str = "single"
+) -> str | None:
+    """Put a single request, without a stream; returns why it was refused, or null."""
+    message = spark.createDataFrame([(message_id, body)], "message_id string, data string")
+    parsed = parse_requests(message.withColumn("arrival", F.current_timestamp()))
+    requests = resolve_requests(parsed, sites, points)
+    put_archive(spark, archive_path, requests)
+    return requests.first()["reason"]

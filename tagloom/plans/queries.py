@@ -13,17 +13,19 @@ from tagloom.operators.canonical import published_form
 from tagloom.operators.enrich import enrich
 from tagloom.operators.value_at_time import value_at_time
 from tagloom.plans import adapters as A
-from tagloom.plans.jobs import stored_events
-from tagloom.schema import EVENT_COLUMNS
+from tagloom.options import ReadOptions
+from tagloom.plans.jobs import run_realtime, stored_events
+from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from tagloom.session import materialize, scratch_path
 from tagloom.sinks import messages as msg
 from tagloom.sinks import tables
 from tagloom.sinks.inserts import insert_new
 from tagloom.sources import dimensions as dims
 from tagloom.sources import events as event_source
+from tagloom.sources import readings as reading_source
 from tagloom.sources import sites as site_source
 from tagloom.sources import tags as tag_source
-from tagloom.streaming import GridStream, event_batches, file_stream, request_batches, start
+from tagloom.streaming import GridStream, deduplicated, event_batches, file_stream, request_batches, start
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,7 +75,8 @@ def q02_value_text(spark, sf_dir):
     v = F.col("value")
     return ev.select(F.col("event_id").alias("row_id"), fn.value_text(v).alias("value"),
                      fn.value_text(v / 7).alias("seventh"), fn.value_text(v * 1000003.0).alias("large"),
-                     fn.value_text(v * v / 100000.0).alias("small"))
+                     fn.value_text(v * v / 100000.0).alias("small"),
+                     fn.value_text(-v * 1.37e16).alias("huge"), fn.value_text(v * v * 1.37e22).alias("immense"))
 
 
 def q03_digital_decode(spark, sf_dir):
@@ -314,11 +317,34 @@ def q24_retention(spark, sf_dir):
     return left.withColumn("event_date", F.col("event_date").cast("string"))
 
 
-def _event_stream(spark, sf_dir) -> DataFrame:
+STREAM_FILES = 4
+
+
+def _event_stream(spark, sf_dir, twice: bool = False) -> DataFrame:
+    """The events as files by time, one per micro-batch; ``twice``: the first half once more."""
     A.ensure_utc(spark)
-    schema = spark.createDataFrame([], A.EVENT_TABLE).schema
-    # A pattern, because a plain path to a stream source must be a folder.
-    return file_stream(spark, f"{sf_dir}/[e]vents.parquet", schema)
+    raw = spark.read.schema(A.EVENT_TABLE).parquet(f"{sf_dir}/events.parquet")
+    folder = scratch_path(spark, "arriving")
+    cuts = [r * 1.0 / STREAM_FILES for r in range(1, STREAM_FILES)]
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    bounds = raw.agg(F.percentile_approx(at, F.array(*map(F.lit, cuts)), 10_000)).first()[0] or []
+    piece = F.lit(0)
+    for bound in bounds:
+        piece = piece + (at > F.lit(bound)).cast("int")
+    pieces = raw.withColumn("piece", piece)
+    for k in [*range(STREAM_FILES), *(range(STREAM_FILES // 2) if twice else ())]:
+        # A file per append, so that a stream source reads them in this order.
+        pieces.where(F.col("piece") == k).drop("piece").coalesce(1).write.mode("append").parquet(folder)
+    return file_stream(spark, folder, raw.schema, max_files_per_trigger=1)
+
+
+def _run(stream: DataFrame, on_batch, checkpoint: str) -> None:
+    """Run to the end; a query over several files must be several micro-batches."""
+    batches = []
+    query = start(stream, lambda df, n: (batches.append(n), on_batch(df, n))[1], checkpoint)
+    query.awaitTermination()
+    if len(set(batches)) < STREAM_FILES:
+        raise RuntimeError(f"{len(set(batches))} micro-batches, expected {STREAM_FILES} at least")
 
 
 def _loaders(spark, sf_dir):
@@ -327,21 +353,34 @@ def _loaders(spark, sf_dir):
     return lambda: A.points(tag_table), lambda: state_table, lambda: A.sites(tag_table)
 
 
-def _streamed_table(spark, sf_dir, shape) -> DataFrame:
+def _streamed_table(spark, sf_dir, shape=lambda readings: readings, twice: bool = False) -> DataFrame:
     path, checkpoint = scratch_path(spark, "inserted"), scratch_path(spark, "offsets")
     on_batch = event_batches(*_loaders(spark, sf_dir), lambda events: insert_new(spark, path, events))
-    stream = shape(A.readings_of(A.with_k(_event_stream(spark, sf_dir))))
-    start(stream, on_batch, checkpoint).awaitTermination()
+    _run(shape(A.readings_of(A.with_k(_event_stream(spark, sf_dir, twice)))), on_batch, checkpoint)
     return _iso(merge.read_table(spark, path), "timestamp").select(*EVENT_COLUMNS)
 
 
 def q25_stream_dedup_parity(spark, sf_dir):
-    """Every reading arrives twice; ids already stored are not stored again."""
-    return _streamed_table(spark, sf_dir, lambda readings: readings.unionByName(readings))
+    """Every reading arrives twice in a batch and half of them in a later batch once more; ids
+    already stored are not stored again."""
+    return _streamed_table(spark, sf_dir, lambda readings: readings.unionByName(readings), twice=True)
+
+
+def q25_watermarked_dedup(spark, sf_dir):
+    """Every reading arrives twice at a time; the stream itself drops the repeats."""
+    path, checkpoint = scratch_path(spark, "deduplicated"), scratch_path(spark, "offsets")
+    on_batch = event_batches(
+        *_loaders(spark, sf_dir), lambda events: events.write.mode("append").parquet(path))
+    readings = A.readings_of(A.with_k(_event_stream(spark, sf_dir)))
+    keyed = readings.unionByName(readings).withColumns(
+        {"timestamp": F.col("ts"), "event_id": fn.event_id("site", "tag", "ts")})
+    once = deduplicated(keyed, "1 day").select(*readings.columns)
+    _run(once, on_batch, checkpoint)
+    return _iso(spark.read.schema(EVENT_SCHEMA).parquet(path), "timestamp").select(*EVENT_COLUMNS)
 
 
 def q26_stream_events_parity(spark, sf_dir):
-    return _streamed_table(spark, sf_dir, lambda readings: readings)
+    return _streamed_table(spark, sf_dir)
 
 
 def q27_chunk_ids(spark, sf_dir):
@@ -370,9 +409,10 @@ def q28_stream_requests(spark, sf_dir):
     load_points, _states, load_sites = _loaders(spark, sf_dir)
     archive, dead, checkpoint = (scratch_path(spark, n) for n in ("archive-table", "dead", "offsets"))
     on_batch = request_batches(load_sites, load_points, archive, dead)
-    start(A.messages_of(A.with_k(_event_stream(spark, sf_dir))), on_batch, checkpoint).awaitTermination()
+    _run(A.messages_of(A.with_k(_event_stream(spark, sf_dir, twice=True))), on_batch, checkpoint)
     stored = writeback.read_archive(spark, archive).groupBy("site", "tag").agg(F.count(F.lit(1)).alias("n"))
     failed = spark.read.schema("message_id bigint, arrival timestamp, data string, reason string").parquet(dead)
+    failed = failed.distinct()  # a message delivered twice is refused twice
     refused = failed.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     return stored.select(F.lit("archive").alias("place"), F.concat_ws("|", "site", "tag").alias("what"), "n").unionByName(
         refused.select(F.lit("dead").alias("place"), F.col("reason").alias("what"), "n"))
@@ -433,13 +473,100 @@ def q32_realtime_windows(spark, sf_dir):
 def q33_stream_grid_parity(spark, sf_dir):
     readings = A.samples(spark, sf_dir)
     sampler = GridStream(spark, A.tags(readings), _grid(readings), scratch_path(spark, "grid"))
-    checkpoint = scratch_path(spark, "offsets")
-    query = start(A.readings_of(A.with_k(_event_stream(spark, sf_dir))), sampler.on_batch, checkpoint)
-    query.awaitTermination()
-    sampler.flush(query.lastProgress["batchId"])
+    _run(A.readings_of(A.with_k(_event_stream(spark, sf_dir))), sampler.on_batch, scratch_path(spark, "offsets"))
+    sampler.flush()
     return _iso(sampler.output(), "ts").select("site", "tag", "ts", "rval", "istat", "no_data")
 
 
+def q34_realtime_grid_events(spark, sf_dir):
+    """The realtime job over files that arrive one by one: the same events as the historical one."""
+    readings = A.samples(spark, sf_dir)
+    tag_table, state_table = A.tags_and_states(readings)
+    site_table = A.sites(tag_table).withColumn("enabled", F.lit(True))
+    path, spec = scratch_path(spark, "inserted"), _grid(readings)
+    query, sampler = run_realtime(
+        A.readings_of(A.with_k(_event_stream(spark, sf_dir))), tag_table.select("site", "tag"), lambda: site_table,
+        lambda: A.points(tag_table), lambda: state_table, spec.start, spec.end, "bigquery",
+        scratch_path(spark, "offsets"), scratch_path(spark, "grid"),
+        read=ReadOptions(interval_seconds=spec.interval_seconds, window_seconds=spec.window_seconds),
+        once=True, hold=False, path=path)
+    query.awaitTermination()
+    sampler.flush()
+    return _iso(merge.read_table(spark, path), "timestamp").select(*EVENT_COLUMNS)
+
+
+def _incomplete(spark, sf_dir) -> DataFrame:
+    """Events of which some have lost their tag or their time."""
+    k = F.conv(F.substring("event_id", 1, 4), 16, 10).cast("bigint") % 20
+    made = _canonical(spark, sf_dir).withColumn("cut", k)
+    lost = made.withColumns({
+        "tag": F.when(F.col("cut") != 0, F.col("tag")), "timestamp": F.when(F.col("cut") != 1, F.col("timestamp")),
+    }).drop("cut")
+    return lost.withColumn("event_id", fn.event_id("site", "tag", "timestamp"))
+
+
+def q35_rejected_events(spark, sf_dir):
+    """Incomplete events merged twice and inserted twice: what is stored, and what is set aside."""
+    rows = materialize(_incomplete(spark, sf_dir))
+    out = []
+    for how in ("merge", "insert"):
+        path = scratch_path(spark, how)
+        for _ in range(2):
+            if how == "merge":
+                merge.reconcile(spark, path, rows)
+            else:
+                insert_new(spark, path, rows)
+        stored = merge.read_table(spark, path).select("site", F.lit("STORED").alias("reason"))
+        bad = merge.read_rejected(spark, path).select("site", "reason")
+        out.append(stored.unionByName(bad).groupBy("site", "reason").agg(F.count(F.lit(1)).alias("n_events")).withColumn(
+            "how", F.lit(how)))
+    return out[0].unionByName(out[1])
+
+
+def q36_stored_inputs(spark, sf_dir):
+    """Readings, points and states written as tables and read back, for two named sites and half of
+    the range, the points merged into the stored ones first: S4 to S6 feeding the flagship plan."""
+    readings = A.samples(spark, sf_dir)
+    tag_table, state_table = A.tags_and_states(readings)
+    raw, point_path, state_path = (scratch_path(spark, n) for n in ("raw", "points", "states"))
+    readings.write.partitionBy("site").parquet(raw)
+    stored = dims.read_points(spark, point_path)
+    dimensions.merge_points(stored, A.points(tag_table)).write.parquet(point_path)
+    state_table.write.parquet(state_path)
+    first, last = A.day_range(readings)
+    middle = first + (last - first) / 2
+    chosen = site_source.select_sites(A.sites(tag_table), "site1,site3")
+    found = reading_source.read_readings(spark, raw, first, middle, ["site1", "site3"])
+    found = found.where(fn.in_range("ts", first, middle))
+    events = stored_events(found, chosen, dims.read_points(spark, point_path), dims.read_states(spark, state_path))
+    return _iso(events, "timestamp").select(*EVENT_COLUMNS)
+
+
+def q37_unknown_sites(spark, sf_dir):
+    """Which of the asked sites the site table does not have."""
+    site_table = A.sites(A.tags(A.samples(spark, sf_dir)))
+    try:
+        site_source.select_sites(site_table, "site2,nowhere,site1,elsewhere")
+        unknown = []
+    except ValueError as problem:
+        unknown = str(problem).split(": ")[1].split(", ")
+    named = F.explode(F.array(*map(F.lit, unknown))).alias("unknown_site")
+    return site_table.select(named).distinct()
+
+
+def q38_files_and_paths(spark, sf_dir):
+    """Partition folders of the day and site table, with whether each day has files."""
+    path = scratch_path(spark, "days")
+    tables.overwrite_partitions(tables.with_ingestion_time(_canonical(spark, sf_dir)), path)
+    files = tables.files_per_day(spark, path).withColumn("has_files", F.col("n_files") >= 1)
+    kept = merge.read_table(spark, path).groupBy("event_date", "site").agg(F.count(F.lit(1)).alias("n_events"))
+    folder = F.concat(F.lit("/event_date="), F.col("event_date").cast("string"), F.lit("/site="), F.col("site"))
+    sample = kept.select("event_date", "site").orderBy("event_date", "site").first()
+    base = tables.partition_path("", str(sample["event_date"]), sample["site"]) if sample else ""
+    return kept.join(files, "event_date").select(
+        folder.alias("folder"), "n_events", "has_files", (folder == F.lit(base)).alias("is_first"))
+
+
 QUERIES: dict[str, Query] = {
     name: made for name, made in sorted(globals().items()) if name[0] == "q" and name[1:3].isdigit()
 }

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 # Fixed values of the event contract.
 SOURCE_ARCHIVE = "piapi"
-SOURCE_SIMULATED = "pi-simulator"
 QUALITY_GOOD = "GOOD"
 QUALITY_NO_POINT = "BAD_POINT_NOT_FOUND"
 QUALITY_STATUS_PREFIX = "BAD_STATUS_"
@@ -79,12 +78,3 @@ SITE_SCHEMA = T.StructType([
     T.StructField("timezone", T.StringType()),
     T.StructField("enabled", T.BooleanType()),
 ])
-
-REQUEST_SCHEMA = T.StructType([
-    T.StructField("site", T.StringType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("istat", T.LongType()),
-    T.StructField("wait", T.BooleanType()),
-])

@@ -3,31 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tagloom.operators.latest import deduplicate
-from tagloom.operators.merge import read_table
+from tagloom.functions import partition_date
+from tagloom.operators.merge import REJECT, read_table, set_aside, with_reason
 from tagloom.schema import TABLE_COLUMNS
 from tagloom.session import drop_scratch, scratch_path
-from tagloom.sinks.tables import clustered, with_event_date, with_ingestion_time
+from tagloom.sinks.tables import with_ingestion_time
+from tagloom.sinks.versions import INSERT, write_version
 
 
-def insert_new(spark: SparkSession, path: str, events: DataFrame) -> None:
-    """Append events whose id is not stored yet; only the days of the batch are read.
+def insert_new(spark: SparkSession, path: str, events: DataFrame) -> dict[str, int]:
+    """Append events whose id is not stored yet, one of each id, and return the numbers of rows
+    inserted and rejected (see ``operators.merge.read_rejected``).
 
-    The kept rows are written to the shared folder first: the append must not read the
-    table it grows, and a retry of it must write the same rows.
+    Only the days and sites of the batch are read, and of them the ids. The new rows are one
+    version of the table: a run that dies has stored nothing, and a repeated one stores nothing
+    twice. Copies of an id have the same site, tag and time; any of them is kept. Each call adds at
+    least one file to each (day, site) of the batch: gather them with ``compact_days`` once a day
+    is over, and drop repeats in the stream by watermark first.
     """
     batch_path = scratch_path(spark, "batch")
-    with_event_date(deduplicate(events)).write.parquet(batch_path)
+    with_reason(events).write.parquet(batch_path)
     batch = spark.read.parquet(batch_path)
-    days = [r["event_date"] for r in batch.select("event_date").distinct().collect()]  # calendar days only
-    if not days:
-        drop_scratch(spark, batch_path)
-        return
-    stored = read_table(spark, path).where(F.col("event_date").isin(days)).select("event_date", "event_id")
+    rejected = set_aside(spark, path, batch)
+    good = batch.where("reason IS NULL").withColumn("event_date", partition_date("timestamp"))
+    table = read_table(spark, path)
+    stored = table.join(good.select("event_date", "site").distinct(), ["event_date", "site"], "left_semi")
+    fresh = good.join(stored.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti")
     fresh_path = scratch_path(spark, "fresh")
-    batch.join(stored, ["event_date", "event_id"], "left_anti").write.parquet(fresh_path)
-    fresh = with_ingestion_time(spark.read.parquet(fresh_path))
-    clustered(fresh.select(*TABLE_COLUMNS)).write.mode("append").partitionBy("event_date", "site").parquet(path)
+    with_ingestion_time(fresh.dropDuplicates(["event_id"])).select(*TABLE_COLUMNS).write.parquet(fresh_path)
+    rows = spark.read.parquet(fresh_path)
+    inserted = rows.count()
+    if inserted:
+        write_version(rows, path)
     drop_scratch(spark, batch_path, fresh_path)
+    return {INSERT: inserted, **({REJECT: rejected} if rejected else {})}

@@ -27,7 +27,8 @@ def clustered(events: DataFrame) -> DataFrame:
     A rebalance lets adaptive execution cut a (day, site) that holds most of the rows
     into pieces of the advisory size, and join small ones up.
     """
-    return events.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*CLUSTER_COLUMNS)
+    order = [c for c in CLUSTER_COLUMNS + ["ts"] if c in events.columns]
+    return events.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*order)
 
 
 def append_jsonl(events: DataFrame, path: str, max_records_per_file: int = 0) -> None:

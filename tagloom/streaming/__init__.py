@@ -1,7 +1,7 @@
 """Structured Streaming jobs."""
 
-from tagloom.streaming.events import deduplicated, event_batches, file_stream, start
+from tagloom.streaming.events import deduplicated, event_batches, file_stream, queue_stream, start
 from tagloom.streaming.grid import GridStream
 from tagloom.streaming.requests import request_batches
 
-__all__ = ["GridStream", "deduplicated", "event_batches", "file_stream", "request_batches", "start"]
+__all__ = ["GridStream", "deduplicated", "event_batches", "file_stream", "queue_stream", "request_batches", "start"]

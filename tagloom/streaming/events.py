@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -18,15 +19,28 @@ from tagloom.operators.resolve import resolve_and_classify
 
 def file_stream(
     spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = None, **options: str,
 ) -> DataFrame:
     """New files under ``path`` as a stream, always with an explicit schema."""
-    reader = spark.readStream.schema(schema).format(file_format)
+    reader = spark.readStream.schema(schema).format(file_format).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
 
 
+def queue_stream(spark: SparkSession, source: str, **options: str) -> DataFrame:
+    """A message queue as (message_id, arrival, data), for example
+    ``queue_stream(spark, "kafka", subscribe="requests", **{"kafka.bootstrap.servers": "..."})``.
+
+    A source with Kafka's columns is renamed; any other must offer the three itself.
+    """
+    rows = spark.readStream.format(source).options(**options).load()
+    if {"topic", "partition", "offset", "value"} <= set(rows.columns):
+        place = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+        return rows.select(place.alias("message_id"), F.col("timestamp").alias("arrival"), F.col("value").alias("data"))
+    return rows.select("message_id", "arrival", "data")
+
+
 def start(
     stream: DataFrame,
     on_batch: Callable[[DataFrame, int], None],

@@ -1,110 +1,154 @@
 """Grid sampling of a live stream.
 
-Between micro-batches only the last sample of each tag is kept, in a table of one row
-per tag. A grid instant is emitted once its tag has a sample at or after it, so values
-are the same as in one batch run, given samples that arrive in order per tag. Later
-ones are counted; the raw table and the daily merge correct what they change.
+Between micro-batches one row per tag is kept: its last sample and ``done``, the last grid cell
+emitted. A batch reduces its samples to the first and last of each (tag, cell) and generates the
+instants between consecutive cells of a tag, beginning after ``done``: the work follows the
+samples and the instants that come due, whatever tags there are besides. An instant is emitted
+once its tag has a sample at or after it, so values are the same as in one batch run. With
+``hold_after``, a tag whose samples end that much before the newest of all tags holds its last
+value from there on, and a tag without any has no data; so do all tags at :meth:`flush`.
+
+A sample at or before an instant that its tag has emitted already comes too late (or once more):
+it changes nothing here, is written to the ``late`` table, and is counted there. The raw table
+and the daily merge correct what it would have changed.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.operators.enrich import enrich
 from tagloom.operators.grid import GridSpec
-from tagloom.operators.latest import snapshot
-from tagloom.operators.value_at_time import KEYS, value_at_time
+from tagloom.operators.value_at_time import FIELDS, KEYS, cell_summary, interpolated
 from tagloom.schema import READING_SCHEMA
 from tagloom.session import drop_scratch
+from tagloom.sinks.versions import read_or_empty
 
 OUTPUT_SCHEMA = T.StructType([
-    T.StructField("site", T.StringType()),
-    T.StructField("server", T.StringType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
+    *READING_SCHEMA.fields[:4],
     T.StructField("rval", T.DoubleType()),
     T.StructField("istat", T.LongType()),
     T.StructField("status", T.LongType()),
     T.StructField("no_data", T.BooleanType()),
 ])
 
+_CARRY = T.StructType([
+    *READING_SCHEMA.fields[:3],
+    T.StructField("t", T.LongType()),
+    T.StructField("istat", T.LongType()),
+    T.StructField("v", T.DoubleType()),
+    T.StructField("done", T.LongType()),
+    T.StructField("batch", T.LongType()),
+])
+
 
 class GridStream:
-    """``start(stream, grid_stream.on_batch, ...)``, then :meth:`flush` when the range is over."""
-
-    def __init__(self, spark: SparkSession, tags: DataFrame, grid: GridSpec, path: str, **join_options):
-        self._spark = spark
-        self._tags = tags
-        self._grid = grid
-        self._path = path.rstrip("/")
-        self._join_options = join_options
-
-    def _carry_path(self, batch: int) -> str:
-        return f"{self._path}/carry/batch={batch}"
-
-    def _carried(self, batch: int) -> DataFrame:
-        if batch < 0:
-            return self._spark.createDataFrame([], READING_SCHEMA)
-        return self._spark.read.schema(READING_SCHEMA).parquet(self._carry_path(batch))
-
-    def _subgrid(self, first: datetime | None, last: datetime) -> GridSpec:
-        """The part of the grid from the window holding ``first`` to just after ``last``,
-        in phase with the whole."""
-        g = self._grid
-        window = timedelta(seconds=g.window_seconds)
-        skipped = max((first - g.start) // window, 0) if first is not None else 0
-        return GridSpec(g.start + skipped * window, min(last, g.end), g.interval_seconds, g.window_seconds)
+    """``start(stream, grid_stream.on_batch, ...)``, then :meth:`flush` when the range is over.
+
+    ``publish``, if given, gets the readings of every batch as they are read back.
+    """
+
+    def __init__(
+        self, spark: SparkSession, tags: DataFrame, grid: GridSpec, path: str, hold_after: timedelta | None = None,
+        publish: Callable[[DataFrame], None] | None = None,
+    ):
+        self._spark, self._tags, self._grid = spark, tags.select(*KEYS), grid
+        self._path, self._hold_after, self._publish = path.rstrip("/"), hold_after, publish
+
+    def _carried(self, before: int | None = None) -> DataFrame:
+        """One row per wanted tag as the last batch (before the given one) left it."""
+        rows = read_or_empty(self._spark, f"{self._path}/carry", _CARRY)
+        if before is not None:
+            rows = rows.where(F.col("batch") < before)
+        last = rows.agg(F.max("batch")).first()[0]
+        known = rows.where(F.col("batch") == F.lit(-1 if last is None else last)).drop("batch")
+        return self._tags.join(known, KEYS, "left").withColumn("done", F.coalesce("done", F.lit(-1).cast("bigint")))
+
+    def _last_batch(self) -> int:
+        last = read_or_empty(self._spark, f"{self._path}/carry", _CARRY).agg(F.max("batch")).first()[0]
+        return -1 if last is None else last
 
     def on_batch(self, readings: DataFrame, batch: int) -> None:
-        carried = self._carried(batch - 1)
+        carried = self._carried(before=batch)
+        at = F.unix_micros("ts")
         good = readings.select(*READING_SCHEMA.fieldNames()).where(
-            (F.col("status") == 0) & (F.col("ts") < F.lit(self._grid.end))
+            (F.col("status") == 0) & F.col("ts").isNotNull() & (F.col("ts") < F.lit(self._grid.end))
         )
-        samples = carried.unionByName(good)
-        newest = snapshot(samples)
-        newest.write.mode("overwrite").parquet(self._carry_path(batch))
-        newest = self._spark.read.schema(READING_SCHEMA).parquet(self._carry_path(batch))
+        known = good.join(carried.select(*KEYS, "done"), KEYS)
+        # Instant 0 is the first: with nothing emitted, no sample is late.
+        emitted = F.when(F.col("done") >= 0, self._grid.instant_micros(F.col("done")))
+        late = F.coalesce(at <= emitted, F.lit(False))
+        known.where(late).select(*READING_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{self._path}/late/batch={batch}")
+
+        # First and last sample of every cell of a tag, after the one that is carried.
+        fresh = cell_summary(known.where(~late), self._grid)
+        held = F.col("t").isNotNull()
+        edge = carried.select(
+            *KEYS, F.when(held, self._grid.cell_of(F.timestamp_micros("t"))).otherwise(F.lit(-2)).alias("cell"),
+            *[F.lit(None).cast(kind).alias(f"first_{f}") for f, kind in FIELDS.items()],
+            *[F.col(f).alias(f"last_{f}") for f in FIELDS],
+        )
+        # A fresh sample may lie in the carried one's cell, before or after it.
+        picked = [F.max_by(f"last_{f}", "last_t").alias(f"last_{f}") for f in FIELDS]
+        firsts = [F.min_by(f"first_{f}", "first_t").alias(f"first_{f}") for f in FIELDS]
+        cells = fresh.unionByName(edge).groupBy(*KEYS, "cell").agg(*firsts, *picked)
+        order = Window.partitionBy(*KEYS).orderBy("cell")
+        ahead = cells.join(carried.select(*KEYS, "done"), KEYS).withColumns({
+            "next_cell": F.lead("cell").over(order), **{f"n_{f}": F.lead(f"first_{f}").over(order) for f in FIELDS},
+        })
+        # The last cell of a tag has no successor; it holds where the stream has moved on.
+        newest = None
+        if self._hold_after is not None:
+            newest = fresh.agg(F.max("last_t")).first()[0]
+        held_to = F.lit(-1).cast("bigint")
+        if newest is not None:
+            until = F.timestamp_micros(F.lit(newest - self._hold_after // timedelta(microseconds=1)))
+            held_to = F.least(self._grid.cell_of(until), F.lit(self._grid.points - 1).cast("bigint"))
+        reached = F.least(F.coalesce("next_cell", F.greatest(held_to, "cell")), F.lit(self._grid.points - 1).cast("bigint"))
+        path = f"{self._path}/ahead/batch={batch}"
+        ahead.withColumn("hi", reached).write.mode("overwrite").parquet(path)
+        ahead = self._spark.read.parquet(path)
+
+        self._emit(ahead, batch)
+        newest_cell = Window.partitionBy(*KEYS).orderBy("cell").rowsBetween(0, Window.unboundedFollowing)
+        last = ahead.withColumn("done_after", F.greatest("done", F.max("hi").over(newest_cell))).where("next_cell IS NULL")
+        last.select(*KEYS, *[F.col(f"last_{f}").alias(f) for f in FIELDS], F.col("done_after").alias("done")).write.mode(
+            "overwrite").parquet(f"{self._path}/carry/batch={batch}")
         # A repeated batch needs the table before its own, and none older.
-        drop_scratch(self._spark, self._carry_path(batch - 2))
-
-        wanted = self._tags.select(*KEYS)
-        done = carried.select(*KEYS, F.col("ts").alias("done_ts"))
-        bounds = wanted.join(done, KEYS, "left").agg(
-            F.min("done_ts").alias("lo"), F.count_if(F.col("done_ts").isNull()).alias("n_new")
-        ).first()
-        top = newest.agg(F.max(F.unix_micros("ts"))).first()[0]
-        if top is None:
-            return
-        lo = None if bounds["n_new"] or bounds["lo"] is None else bounds["lo"].replace(tzinfo=timezone.utc)
-        last = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=top + 1)
-        part = self._subgrid(lo, last)
-
-        rows = value_at_time(samples, wanted, part, **self._join_options)
-        edges = newest.select(*KEYS, F.col("ts").alias("newest_ts")).join(done, KEYS, "left")
-        known = enrich(rows, edges, KEYS, ["ts"], how="inner", **self._join_options)
-        due = known.where(
-            (F.col("ts") <= F.col("newest_ts")) & (F.col("done_ts").isNull() | (F.col("ts") > F.col("done_ts")))
-        )
-        self._write(due, batch)
+        drop_scratch(self._spark, path, f"{self._path}/carry/batch={batch - 2}")
 
-    def flush(self, last_batch: int) -> None:
+    def flush(self) -> None:
         """Emit the rest of the range for every tag, holding its last sample."""
-        carried = self._carried(last_batch)
-        wanted = self._tags.select(*KEYS)
-        done = wanted.join(carried.select(*KEYS, F.col("ts").alias("done_ts")), KEYS, "left")
-        rows = value_at_time(carried, wanted, self._grid, **self._join_options)
-        known = enrich(rows, done, KEYS, ["ts"], how="inner", **self._join_options)
-        self._write(known.where(F.col("done_ts").isNull() | (F.col("ts") > F.col("done_ts"))), last_batch + 1)
-
-    def _write(self, rows: DataFrame, batch: int) -> None:
-        # Overwritten by its own number only: a repeated batch replaces its earlier output.
-        rows.select(*OUTPUT_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{self._path}/grid/batch={batch}")
+        batch = self._last_batch() + 1
+        rest = self._carried(before=batch).select(
+            *KEYS, F.col("done").alias("cell"), "done", F.lit(self._grid.points - 1).cast("bigint").alias("hi"),
+            *[F.col(f).alias(f"last_{f}") for f in FIELDS], *[F.lit(None).cast(k).alias(f"n_{f}") for f, k in FIELDS.items()],
+        )
+        self._emit(rest, batch)
+
+    def _emit(self, ahead: DataFrame, batch: int) -> None:
+        """Instants after ``cell`` and ``done`` up to ``hi``. Overwritten by its own number only: a
+        repeated batch replaces its earlier output."""
+        lo = F.greatest(F.col("cell") + 1, F.col("done") + 1, F.lit(0).cast("bigint"))
+        due = ahead.withColumn("lo", lo).where("lo <= hi").select(
+            *KEYS, *[F.col(f"last_{f}").alias(f"p_{f}") for f in FIELDS], *[f"n_{f}" for f in FIELDS],
+            F.explode(F.sequence("lo", "hi")).alias("cell"),
+        )
+        at: Column = self._grid.instant_micros(F.col("cell"))
+        rows = due.withColumn("g", at).select(*KEYS, F.timestamp_micros("g").alias("ts"), *interpolated())
+        path = f"{self._path}/grid/batch={batch}"
+        rows.select(*OUTPUT_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path)
+        if self._publish:
+            self._publish(self._spark.read.schema(OUTPUT_SCHEMA).parquet(path))
 
     def output(self) -> DataFrame:
-        return self._spark.read.schema(OUTPUT_SCHEMA).parquet(f"{self._path}/grid").select(*OUTPUT_SCHEMA.fieldNames())
-
+        return read_or_empty(self._spark, f"{self._path}/grid", OUTPUT_SCHEMA).select(*OUTPUT_SCHEMA.fieldNames())
 
+    def late(self) -> DataFrame:
+        """Samples that came after their instant, by batch."""
+        schema = T.StructType([*READING_SCHEMA.fields, T.StructField("batch", T.LongType())])
+        return read_or_empty(self._spark, f"{self._path}/late", schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from tagloom.operators.writeback import parse_requests, put_archive, rejected, resolve_requests
-from tagloom.session import materialize
+from tagloom.session import drop_scratch, scratch_path
 
 
 def request_batches(
@@ -22,11 +22,13 @@ def request_batches(
     fails is read again, and both writes give the same result when repeated."""
 
     def on_batch(messages: DataFrame, batch: int) -> None:
-        requests = materialize(
-            resolve_requests(parse_requests(messages), load_sites(), load_points(), **join_options)
-        )
-        put_archive(messages.sparkSession, archive_path, requests)
+        spark = messages.sparkSession
+        path = scratch_path(spark, "requests")
+        resolve_requests(parse_requests(messages), load_sites(), load_points(), **join_options).write.parquet(path)
+        requests = spark.read.parquet(path)
+        put_archive(spark, archive_path, requests)
         bad = rejected(requests).select("message_id", "arrival", "data", "reason")
         bad.write.mode("overwrite").parquet(f"{dead_letter_path.rstrip('/')}/batch={batch}")
+        drop_scratch(spark, path)
 
     return on_batch

@@ -141,7 +141,7 @@ def test_value_at_time_equals_brute_force(spark, block, limit):
     df = df.withColumn("ts", F.timestamp_micros("m"))
     tag_df = spark.createDataFrame([("s", "srv", t) for t in tags], "site string, server string, tag string")
     points = [r[0] for r in spark.range(spec.points).select(spec.instant_micros(F.col("id"))).collect()]
-    got_df = value_at_time(df, tag_df, spec, cells_per_block=block, broadcast_limit=limit, salts=4)
+    got_df = value_at_time(df, tag_df, spec, cells_per_block=block, broadcast_limit=limit, hot_rows=3)
     got_rows = got_df.select("tag", F.unix_micros("ts").alias("g"), "rval", "istat", "no_data").collect()
     got = {(r.tag, r.g): (r.rval, r.istat, r.no_data) for r in got_rows}
     assert len(got_rows) == len(got) == len(tags) * spec.points

@@ -63,7 +63,7 @@ WANT = [
 @pytest.mark.parametrize("limit", [None, 0])
 def test_classification(spark, limit):
     numbered = readings(spark, ROWS).withColumn("n", F.monotonically_increasing_id())
-    df = resolve_and_classify(numbered, points(spark), states(spark), broadcast_limit=limit, salts=3)
+    df = resolve_and_classify(numbered, points(spark), states(spark), broadcast_limit=limit, hot_rows=2)
     got = [tuple(r) for r in df.orderBy("n").select(
         "value", "quality", "value_type", "point_id", "digital_code", "digital_set_id", "digital_state_id",
         "digital_state_name", "raw_istat").collect()]
@@ -97,7 +97,7 @@ def test_salted_join_equals_broadcast_join(spark, how):
             F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"), "id")
     dim = spark.createDataFrame([("hot", 1), ("k2", 2), ("k5", 3), ("unused", 4)], "k string, v int")
     a = enrich(fact, dim, ["k"], ["id"], how=how)
-    b = enrich(fact, dim, ["k"], ["id"], how=how, broadcast_limit=0, salts=16)
+    b = enrich(fact, dim, ["k"], ["id"], how=how, broadcast_limit=0, hot_rows=5)
     assert a.columns == b.columns
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
@@ -110,7 +110,7 @@ def test_salted_join_spreads_hot_and_null_keys(spark):
         for hot in (F.lit("hot"), F.lit(None).cast("string")):
             fact = spark.range(n).select(hot.alias("k"), "id")
             dim = spark.createDataFrame([("hot", 1)], "k string, v int")
-            joined = enrich(fact, dim, ["k"], ["id"], broadcast_limit=0, salts=64)
+            joined = enrich(fact, dim, ["k"], ["id"], broadcast_limit=0, hot_rows=125)
             sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
             assert sum(sizes) == n and max(sizes) < n / 2
     finally:

@@ -10,9 +10,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tagloom.functions import event_id
-from tagloom.operators import chunks, dimensions, latest, merge, reports
+from tagloom.operators import chunks, dimensions, latest, merge, reports, writeback
 from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
-from tagloom.sinks import choose_sink, tables
+from tagloom.sinks import choose_sink, tables, versions
 from tagloom.sinks.inserts import insert_new
 from tagloom.sinks.registry import with_retry
 from tagloom.sources import dimensions as dims
@@ -114,10 +114,91 @@ def test_merge_inserts_updates_and_keeps(spark, tmp_path):
 def test_merge_writes_only_changed_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     merge.reconcile(spark, path, events(spark, DAY))
-    files = {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{path}/*/*/*.parquet")}
     merge.reconcile(spark, path, events(spark, [("s1", "A", "2026-01-01 10:00:00", "9.0"), ("s2", "A", "2026-01-01 10:00:00", "3.0")]))
-    same = {p for p in glob.glob(f"{path}/*/*/*.parquet") if files.get(p) == os.stat(p).st_mtime_ns}
-    assert {os.path.dirname(p)[len(path) + 1:] for p in set(files) - same} == {"event_date=2026-01-01/site=s1"}
+    written = {os.path.dirname(p)[len(path) + 1:] for p in glob.glob(f"{path}/_versions/version=2/*/*/*.parquet")}
+    assert written == {"_versions/version=2/event_date=2026-01-01/site=s1"}
+    # New rows are added beside the stored ones; unchanged ones write nothing.
+    merge.reconcile(spark, path, events(spark, [("s2", "B", "2026-01-01 10:00:00", "9.0"), DAY[3]]))
+    added = spark.read.parquet(f"{path}/_versions/version=3")
+    assert [(r.site, r.tag) for r in added.collect()] == [("s2", "B")]
+    assert merge.reconcile(spark, path, events(spark, DAY[1:2])) == {"keep": 2} and versions.last_version(spark, path) == 3
+
+
+INCOMPLETE = [(None, "A", "2026-01-01 10:00:00", "1"), ("s1", None, "2026-01-01 10:00:00", "2"), ("s1", None, "2026-01-01 11:00:00", "3"),
+              ("s1", "A", None, "4"), ("", "A", "2026-01-01 10:00:00", "5")]
+
+
+@pytest.mark.parametrize("how", ["merge", "insert"])
+def test_events_without_a_key_are_set_aside(spark, tmp_path, how):
+    path = str(tmp_path / "t")
+    batch = events(spark, DAY + INCOMPLETE)
+    run = (lambda: merge.reconcile(spark, path, batch)) if how == "merge" else (lambda: insert_new(spark, path, batch))
+    assert run() == {"insert": 4, "reject": 5}
+    assert run() == ({"keep": 4, "reject": 5} if how == "merge" else {"insert": 0, "reject": 5})
+    assert stored(spark, path) == sorted([(*r, "GOOD") for r in DAY], key=repr)
+    reasons = [r.reason for r in merge.read_rejected(spark, path).orderBy("value").collect()]
+    assert reasons == ["NO_SITE", "NO_TAG", "NO_TAG", "NO_TIMESTAMP", "NO_SITE"]
+
+
+def test_interrupted_merge_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    merge.reconcile(spark, path, events(spark, DAY))
+    before = stored(spark, path)
+    changed = events(spark, [("s1", "A", "2026-01-01 10:00:00", "9.0"), ("s3", "A", "2026-01-05 10:00:00", "1.0")])
+
+    def broken(*args):
+        raise RuntimeError("lost between the rows and the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", broken)
+        with pytest.raises(RuntimeError):
+            merge.reconcile(spark, path, changed)
+    assert os.path.isdir(f"{path}/_versions/version=2") and stored(spark, path) == before
+    assert merge.reconcile(spark, path, changed) == {"insert": 1, "update": 1, "keep": 1}
+    assert len(stored(spark, path)) == 5 and ("s1", "A", "2026-01-01 10:00:00", "9.0", "GOOD") in stored(spark, path)
+
+
+def test_interrupted_archive_put_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+
+    def requests(*rows):
+        df = spark.createDataFrame(list(rows), "tag string, t string, value double, a string, message_id string")
+        return df.select(F.lit("s1").alias("site"), F.lit("v").alias("server"), "tag", F.col("t").cast("timestamp").alias("ts"), "value",
+                         F.lit(0).cast("bigint").alias("istat"), F.col("a").cast("timestamp").alias("arrival"), "message_id",
+                         F.lit(None).cast("string").alias("reason"))
+
+    read = lambda: rows_of(writeback.read_archive(spark, path).select("tag", "rval", "message_id"))
+    assert writeback.put_archive(spark, path, requests(("A", "2026-01-01", 1.0, "2026-02-01", "m1"), ("B", "2026-01-01", 2.0, "2026-02-01", "m2"))) == {"insert": 2}
+    later = requests(("A", "2026-01-01", 3.0, "2026-02-02", "m3"), ("B", "2026-01-01", 9.0, "2026-01-31", "m0"), ("C", "2026-01-02", 4.0, "2026-02-02", "m4"))
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            writeback.put_archive(spark, path, later)
+    assert read() == [("A", 1.0, "m1"), ("B", 2.0, "m2")]
+    assert writeback.put_archive(spark, path, later) == {"insert": 1, "update": 1, "keep": 1}
+    assert read() == [("A", 3.0, "m3"), ("B", 2.0, "m2"), ("C", 4.0, "m4")]
+    assert writeback.put_archive(spark, path, later).keys() == {"keep"}
+
+
+def test_closed_days_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for hour in range(6):
+        insert_new(spark, path, events(spark, [("s1", "A", f"2026-01-0{d} 1{hour}:00:00", "1") for d in (1, 2)]))
+    rows = stored(spark, path)
+    assert versions.compact_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 2)) == 1
+    assert stored(spark, path) == rows
+    assert versions.vacuum(spark, path, merge.TABLE_SCHEMA) == 6
+    assert stored(spark, path) == rows
+    day_files = lambda d: len(glob.glob(f"{path}/_versions/version=*/event_date=2026-01-0{d}/*/*.parquet"))
+    assert day_files(1) == 1 and day_files(2) == 6
+    assert versions.compact_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 2)) == 0
+
+
+def test_table_written_plainly_can_be_merged_into(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite_partitions(tables.with_ingestion_time(events(spark, DAY)), path)
+    assert merge.reconcile(spark, path, events(spark, [(*DAY[0][:3], "9.0")])) == {"update": 1, "keep": 1}
+    assert sorted(r[3] for r in stored(spark, path)) == ["2.0", "3.0", "4.0", "9.0"]
 
 
 def test_merge_in_two_steps_equals_one(spark, tmp_path):
@@ -238,6 +319,11 @@ def test_sink_without_its_options():
         choose_sink("realtime", "kafka")
 
 
+def test_unknown_sink_options():
+    with pytest.raises(ValueError, match="no option pth"):
+        choose_sink("realtime", "file", path="x", pth="y")
+
+
 def test_retry_counts_failures():
     calls = []
 
