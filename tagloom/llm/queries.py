@@ -29,7 +29,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "shards")
     wavelet.write_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return wavelet.read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    read = wavelet.read_documents(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return wavelet.with_start(read, path)
 
 
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

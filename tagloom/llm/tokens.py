@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: A slice of a batch ends at this much text (one row at least) or at so many rows.
-SLICE_BYTES, SLICE_ROWS = 4 << 20, 2048
+SLICE_BYTES, SLICE_ROWS = 8 << 20, 4096
 
 #: White space of any of the regular-expression engines involved, except blank, tab, line feed
 #: and carriage return; the zero byte as well.
@@ -169,7 +169,7 @@ def tokenizer_cache(path: str) -> ChunkCache:
             to = np.searchsorted(begins, ends)
             return [ids[a:b].tobytes() for a, b in zip(np.append(0, to[:-1]).tolist(), to.tolist(), strict=True)]
 
-        return ChunkCache(encode, encode_many)
+        return ChunkCache(encode, encode_many, entries=400_000)
 
     return kept(("tokenizer", path), make)
 

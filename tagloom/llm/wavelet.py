@@ -210,9 +210,18 @@ def _open(batch: pa.RecordBatch, i: int) -> WaveletMatrix:
     return WaveletMatrix.load(*[value(c) for c in ("n_tokens", "bits", "planes", "zeros", "ranks")])
 
 
+def with_start(rows: DataFrame, path: str) -> DataFrame:
+    """``start`` (ids before the document in all shards) instead of its place within its shard."""
+    placed = rows.join(shard_starts(rows.sparkSession, path), ["part", "shard"])
+    start = (F.col("shard_start") + F.col("start_in_shard")).alias("start")
+    others = [c for c in rows.columns if c not in ("part", "shard", "doc_id", "start_in_shard")]
+    return placed.select("doc_id", start, *others)
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Per document: doc_id, start (ids before it in all shards), n_tokens, and the ids as
-    little-endian unsigned 32-bit integers."""
+    """Per document: part and shard, doc_id, start_in_shard, n_tokens, and the ids as
+    little-endian unsigned 32-bit integers. See :func:`with_start`; what needs no ids any more
+    should be selected before."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,11 +252,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     )
                     at = to
 
-    rows = spark.read.schema(SHARD).parquet(path).mapInArrow(
+    return spark.read.schema(SHARD).parquet(path).mapInArrow(
         read, "part int, shard int, doc_id bigint, start_in_shard bigint, n_tokens bigint, ids binary"
     )
-    placed = rows.join(shard_starts(spark, path), ["part", "shard"])
-    return placed.select("doc_id", (F.col("shard_start") + F.col("start_in_shard")).alias("start"), "n_tokens", "ids")
 
 
 def count_tokens(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:

@@ -106,7 +106,7 @@ def test_shards_small(spark, odd_documents, tmp_path):
     docs = spark.read.parquet(f"{odd_documents[0]}/documents.parquet")
     wavelet.write_shards(docs, path, public.path("byte_bpe_50k.json"), 2, shard_tokens=50)
     assert spark.read.parquet(path).count() > 3
-    rows = wavelet.read_documents(spark, path).orderBy("start").collect()
+    rows = wavelet.with_start(wavelet.read_documents(spark, path), path).orderBy("start").collect()
     flat = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in rows])
     assert [r["start"] for r in rows] == (np.cumsum([r["n_tokens"] for r in rows]) - [r["n_tokens"] for r in rows]).tolist()
     token = int(np.bincount(flat).argmax())
