@@ -44,9 +44,10 @@ WORDS = 5
 SIMILAR = 75
 #: Positions of 128 that must agree before a pair is looked at: 0.75 less five standard deviations.
 AGREE = 72
-TREES, NODE_SIZE, DEPTH = 12, 1024, 8
-#: Broadcast at most so many candidate rows (24 bytes each); beyond, the join is shuffled.
-BROADCAST_ROWS = 250_000
+TREES, NODE_SIZE, DEPTH = 12, 4096, 8
+#: Broadcast at most so many ids of documents to be read again (16 bytes each, 64 MB); beyond,
+#: their texts are found by a shuffled join.
+BROADCAST_IDS = 4_000_000
 
 _random = np.random.default_rng(20240)
 _PLACE = _random.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -248,11 +249,18 @@ def with_partners(rows: DataFrame) -> DataFrame:
     return rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(run, LEAF)
 
 
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Ids and texts of the documents with these ids, so that no other text is shuffled."""
+    ids = ids.toDF("doc_id").distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+
+
 def links_inside(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Links between different components inside leaves, by full sets: no more of a leaf than
     join its components."""
-    needed = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS // 10 else rows
-    texts = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("rep")).drop("doc_id")
+    texts = _only(docs, rows.select("rep")).join(rows, F.col("doc_id") == F.col("rep")).drop("doc_id")
     columns = [c.split()[0] for c in LEAF.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,9 +299,7 @@ def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     path = scratch_path(spark, "needed")
     needed.write.parquet(path)
     needed = spark.read.parquet(path)
-    if needed.count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
-    rows = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("needed"))
+    rows = _only(docs, needed.select("needed")).join(needed, F.col("doc_id") == F.col("needed"))
     rows = rows.select("a", "run", "doc_id", (F.col("doc_id") != F.col("a")).alias("partner"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
