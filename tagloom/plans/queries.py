@@ -412,7 +412,7 @@ def q28_stream_requests(spark, sf_dir):
     _run(A.messages_of(A.with_k(_event_stream(spark, sf_dir, twice=True))), on_batch, checkpoint)
     stored = writeback.read_archive(spark, archive).groupBy("site", "tag").agg(F.count(F.lit(1)).alias("n"))
     failed = spark.read.schema("message_id bigint, arrival timestamp, data string, reason string").parquet(dead)
-    failed = failed.distinct()  # a message delivered twice is refused twice
+    failed = failed.drop("batch").distinct()  # a message delivered twice is refused twice
     refused = failed.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     return stored.select(F.lit("archive").alias("place"), F.concat_ws("|", "site", "tag").alias("what"), "n").unionByName(
         refused.select(F.lit("dead").alias("place"), F.col("reason").alias("what"), "n"))
