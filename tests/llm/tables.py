@@ -29,9 +29,9 @@ ODD_TEXTS = [
 def odd_documents(spark, tmp_path):
     rows = [(i, t, "en", None if i % 5 == 0 else f"s{i % 3}") for i, t in enumerate(ODD_TEXTS)]
     rows.append(rows[5])  # a repeated row
-    return write_documents(spark, tmp_path, rows), rows
+    return write_documents(spark, tmp_path / "odd", rows), rows
 
 
 @pytest.fixture
 def no_documents(spark, tmp_path):
-    return write_documents(spark, tmp_path, [])
+    return write_documents(spark, tmp_path / "none", [])
