@@ -16,8 +16,8 @@ from tagloom.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-#: Least share of a document's main language.
-MAIN_LANGUAGE = 0.5
+#: Least share of a document's main language. Low, so that a document of two halves stays.
+MAIN_LANGUAGE = 0.35
 
 
 def _shielded(docs: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def _restored(made: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those in which no language has half of the words."""
+    """Rejects documents without a letter and those without a main language."""
     known = language.predict(_shielded(docs), language.learn(docs))
     return _restored(known.where((F.col("lang_pred") != "und") & (F.col("score") >= MAIN_LANGUAGE)), docs)
 
