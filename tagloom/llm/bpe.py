@@ -170,7 +170,7 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", decoded: s
                 table[rank] = token
             return table
 
-        table = kept(("bytes", path), make)
+        table = kept(("bytes", path), make, alone=False)
         for batch in slices(batches, place):
             out = [
                 b"".join([table[i] for i in np.frombuffer(v, dtype="<u4").tolist()]) if v else b""

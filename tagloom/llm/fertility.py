@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.tokens import ChunkCache, kept, plain, slices, text_buffers
 from tagloom.llm.words import BLANK, STEP, mix, word_hashes
+from tagloom.session import materialize
 
 SYMBOLS = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>"])
 
@@ -199,6 +200,10 @@ def figures(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str
 BELOW, FEW_TOKENS, FEW_DOCS = 3.5, 2000, 400
 
 
+#: Languages that are broadcast, about a hundred bytes each.
+MOST_BROADCAST = 100_000
+
+
 def judge(
     measured: DataFrame, language: str | None = None, bands: dict[str, tuple[float, float, float, float]] = BANDS
 ) -> DataFrame:
@@ -220,4 +225,8 @@ def judge(
     wider = F.sqrt(1 + FEW_TOKENS / F.greatest(F.col("n_tokens"), F.lit(1)) + FEW_DOCS / F.col("n"))
     near = F.col("chars_per_token") >= median - BELOW * deviation * wider
     kept = ~F.col("base_failed") & fits & F.coalesce(near, F.lit(True))
+    # A row per language; if there were very many, Spark decides how to join them.
+    usual = materialize(usual)
+    if usual.count() <= MOST_BROADCAST:
+        usual = F.broadcast(usual)
     return judged.join(usual, "_group", "left").withColumn("kept", kept).drop("_group", "q", "n")

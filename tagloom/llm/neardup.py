@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.components import components
-from tagloom.llm.tokens import slices
+from tagloom.llm.tokens import release, slices
 from tagloom.llm.words import STEP, mix, word_hashes
 from tagloom.session import scratch_path
 
@@ -100,6 +100,7 @@ def describe(docs: DataFrame, trees: int) -> DataFrame:
     position = _roots(trees)[2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches, 1, 1 << 20):
             sets = shingle_sets(batch.column(1))
             with np.errstate(over="ignore"):
@@ -303,6 +304,7 @@ def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     rows = rows.select("a", "run", "doc_id", (F.col("doc_id") != F.col("a")).alias("partner"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         group, own = None, []
         for batch in slices(batches, 4, 1 << 20):
             a, r, ids = (batch.column(k).to_numpy() for k in (0, 1, 2))

@@ -37,13 +37,21 @@ CHUNK_POINT = np.isin(np.arange(256), [ord(c) for c in string.punctuation if c !
 _KEPT: dict[tuple, object] = {}
 
 
-def kept(key: tuple, make: Callable[[], object]):
-    """One object per Python worker."""
+def kept(key: tuple, make: Callable[[], object], alone: bool = True):
+    """One object per Python worker. Workers serve one stage after another: what is kept
+    ``alone`` takes the place of all that was kept before, so caches don't add up."""
     if key not in _KEPT:
+        if alone:
+            _KEPT.clear()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def release() -> None:
+    """Give up what earlier stages left in this worker."""
+    _KEPT.clear()
+
+
 def plain(texts: pa.Array) -> pa.Array:
     """Nulls as empty texts, 64-bit offsets, no slice offset."""
     return pa.concat_arrays([pc.fill_null(texts.cast(pa.large_string()), "")])
@@ -84,7 +92,7 @@ class ChunkCache(dict):
     characters, so memory is bounded whatever the texts.
     """
 
-    def __init__(self, encode, encode_many=None, entries: int = 250_000):
+    def __init__(self, encode, encode_many=None, entries: int = 150_000):
         super().__init__()
         self.encode, self.encode_many, self.entries, self.older = encode, encode_many, entries, {}
 
@@ -169,7 +177,7 @@ def tokenizer_cache(path: str) -> ChunkCache:
             to = np.searchsorted(begins, ends)
             return [ids[a:b].tobytes() for a, b in zip(np.append(0, to[:-1]).tolist(), to.tolist(), strict=True)]
 
-        return ChunkCache(encode, encode_many, entries=400_000)
+        return ChunkCache(encode, encode_many, entries=300_000)
 
     return kept(("tokenizer", path), make)
 
