@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: A slice of a batch ends at this much text (one row at least) or at so many rows.
-SLICE_BYTES, SLICE_ROWS = 8 << 20, 4096
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 8192
 
 #: White space of any of the regular-expression engines involved, except blank, tab, line feed
 #: and carriage return; the zero byte as well.
@@ -156,7 +156,7 @@ class ChunkCache(dict):
         return before[np.searchsorted(begin, ends)], ids
 
 
-def tokenizer_cache(path: str) -> ChunkCache:
+def tokenizer_cache(path: str, entries: int = 250_000) -> ChunkCache:
     """A cache over a tokenizer file; strings of special tokens in a text are ordinary text."""
 
     def make() -> ChunkCache:
@@ -177,7 +177,7 @@ def tokenizer_cache(path: str) -> ChunkCache:
             to = np.searchsorted(begins, ends)
             return [ids[a:b].tobytes() for a, b in zip(np.append(0, to[:-1]).tolist(), to.tolist(), strict=True)]
 
-        return ChunkCache(encode, encode_many, entries=300_000)
+        return ChunkCache(encode, encode_many, entries=entries)
 
     return kept(("tokenizer", path), make)
 

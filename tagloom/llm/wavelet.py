@@ -28,6 +28,9 @@ from tagloom.llm.tokens import slices, tokenizer_cache
 SHARD_TOKENS = 1 << 23
 BLOCK = 512
 
+#: Text encoded at once, and chunks remembered twice over: about 250 MB of a worker.
+SLICE_TEXT, CACHED_CHUNKS = 16 << 20, 500_000
+
 SHARD = (
     "part int, shard int, n_tokens bigint, n_docs bigint, doc_ids array<bigint>, lengths binary, "
     "bits int, planes binary, zeros binary, ranks binary"
@@ -152,7 +155,7 @@ def write_shards(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part, shard = tokenizer_cache(tokenizer), TaskContext.get().partitionId(), 0
+        cache, part, shard = tokenizer_cache(tokenizer, CACHED_CHUNKS), TaskContext.get().partitionId(), 0
         docs_in: list[pa.Array] = []
         lengths: list[np.ndarray] = []
         ids: list[np.ndarray] = []
@@ -172,7 +175,7 @@ def write_shards(
                 held.clear()
             return pa.RecordBatch.from_arrays(row, schema=ARROW)
 
-        for batch in slices(batches):
+        for batch in slices(batches, 1, SLICE_TEXT):
             starts, found = cache.texts(batch.column(1))
             ended = np.insert(found, starts[1:], end_id)
             counts = np.diff(starts) + 1
