@@ -156,6 +156,26 @@ def test_trust_is_carried_along_links(spark):
         assert r["trust"] == pytest.approx(trust.get(h, 0.0), abs=1e-12) and r["distrust"] == pytest.approx(distrust.get(h, 0.0), abs=1e-12)
 
 
+def test_trust_reaches_the_end_of_a_chain(spark):
+    """Twenty hosts in a row to a blocked one, with a loop in the middle, against the solved equations."""
+    chain = [*(f"h{k}.net" for k in range(20)), "bad.com"]
+    links = {(a, b): 1 for a, b in zip(chain, chain[1:])} | {("h9.net", "h5.net"): 2, ("good.org", "h3.net"): 1}
+    hosts = [*chain, "good.org"]
+    rows = []
+    for k, host in enumerate(hosts):
+        html = "".join(f'<a href="http://{b}/">x</a>' * n for (a, b), n in links.items() if a == host)
+        rows.append((k, f"http://{host}/{'de/' * (host == 'bad.com')}", html, None))
+    found = {r["host"]: r for r in hostrank.judge(spark.createDataFrame(rows, PAGES), RULES).collect()}
+    assert found["h0.net"]["trust"] == 0 and found["h0.net"]["distrust"] > 0 and found["h0.net"]["verdict"] == "block"
+    for name, edges, seed in (("trust", links, "good.org"), ("distrust", {(b, a): n for (a, b), n in links.items()}, "bad.com")):
+        steps = np.zeros((len(hosts), len(hosts)))
+        for (a, b), n in edges.items():
+            steps[hosts.index(b), hosts.index(a)] = n / sum(m for (x, _), m in edges.items() if x == a)
+        want = np.linalg.solve(np.eye(len(hosts)) - hostrank.DAMPING * steps, np.eye(len(hosts))[hosts.index(seed)])
+        want /= want.sum()
+        assert [found[h][name] for h in hosts] == pytest.approx(want.tolist(), rel=1e-10, abs=1e-300)
+
+
 def test_no_pages(spark, tmp_path):
     folder = write_table(spark, tmp_path, "pages", [], PAGES)
     assert QUERIES["op10_host_trust"](spark, folder).count() == 0
