@@ -1,6 +1,12 @@
 """Packing into fixed windows with a controlled mixture of sources.
 
-Encoding writes *segments*: rows of about four million ids with their documents. Inside a segment
+Documents are first dealt out in an order of *turns*, in which every stretch holds each source in
+its target share, however the table is sorted: a document has an even place among those of its
+source, and its turn is where a packing at the targets would have come that far into the source.
+A source that ends early leaves its share to the others; sources without a target come last.
+
+Encoding writes *segments*: rows of about four million ids with their documents, in that order, so
+that one holds all sources about as its windows ask for them. Inside a segment
 every source has a queue. For each window a source earns its target share of the window in
 credit, and the sources take turns: one that has earned a piece of a useful length sends that
 many ids from the head of its queue, cutting a document where its credit ends; the rest of the
@@ -26,8 +32,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.llm.tokens import SLICE_BYTES, slices, tokenizer_cache
+from tagloom.session import materialize
 
 SEGMENT_TOKENS = 1 << 22
+#: Entries of segments and sources that are broadcast, about a hundred bytes each.
+MOST_BROADCAST = 100_000
+GOLDEN = (5**0.5 - 1) / 2
 
 SEGMENT = (
     "part int, segment int, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, doc_source array<int>, "
@@ -45,11 +55,58 @@ PIECE = (
 )
 
 
+def schedule(totals: dict[str, float], targets: dict[str, float]) -> list[tuple[str, float, float, float, float]]:
+    """(source, share of it from, to, turn at from, turns per share): how far packing at the
+    targets is into each source, until it ends. Turns run from 0; at ``sum(totals)`` all end."""
+    left = {s: 1.0 for s, t in targets.items() if t > 0 and totals.get(s, 0) > 0}
+    out, turn = [], 0.0
+    while left:
+        every = sum(targets[s] for s in left)
+        pace = {s: targets[s] / every / totals[s] for s in left}  # share of the source per turn
+        first = min(left, key=lambda s: left[s] / pace[s])
+        taken = left[first] / pace[first]
+        for s in list(left):
+            upto = 0.0 if s == first else max(0.0, left[s] - taken * pace[s])
+            out.append((s, 1.0 - left[s], 1.0 - upto, turn, 1.0 / pace[s]))
+            left[s] = upto
+            if not upto:
+                del left[s]
+        turn += taken
+    return out
+
+
+def in_turns(rows: DataFrame, targets: dict[str, float] | None) -> DataFrame:
+    """``rows(source, text, ..)`` over tasks and inside them in the order of their turns.
+
+    A place is a multiple of the golden ratio by the row's position in its input partition, so rows
+    in a run, or at every n-th position, lie more evenly than random ones. It is not of its columns,
+    so no key or copy gathers; ``rows`` has to be read from a stored table. Only sums of the sources with targets
+    reach the driver; sizes are bytes, since nothing is encoded yet.
+    """
+    row, file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)), F.xxhash64(F.spark_partition_id())
+    placed = rows.withColumn("turn", F.pmod(row * F.lit(GOLDEN) + F.shiftrightunsigned(file, 11) / F.lit(float(1 << 53)), F.lit(1.0)))
+    if targets is not None:
+        weight = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("double")
+        some = rows.where(F.col("source").isin(list(targets))).groupBy("source").agg(F.sum(weight).alias("n")).collect()
+        totals = {r["source"]: r["n"] for r in some}
+        steps = rows.sparkSession.createDataFrame(
+            schedule(totals, targets), "of string, low double, high double, since double, pace double"
+        )
+        fits = (F.col("source") == F.col("of")) & (F.col("turn") >= F.col("low")) & (F.col("turn") < F.col("high"))
+        turn = F.col("since") + (F.col("turn") - F.col("low")) * F.col("pace")
+        last = F.lit(sum(totals.values()) + 1.0) + F.col("turn")
+        placed = placed.join(F.broadcast(steps), fits, "left").select(*rows.columns, F.coalesce(turn, last).alias("turn"))
+    return placed.repartitionByRange("turn").sortWithinPartitions("turn").drop("turn")
+
+
 def write_segments(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, segment_tokens: int = SEGMENT_TOKENS,
-    doc_id: str = "doc_id", text: str = "text", source: str = "source",
+    doc_id: str = "doc_id", text: str = "text", source: str = "source", targets: dict[str, float] | None = None,
 ) -> None:
-    """Encode every document and write the segments; ids of 16 bits where the vocabulary allows."""
+    """Encode every document and write the segments; ids of 16 bits where the vocabulary allows.
+
+    ``targets``: those that ``pack`` will be given.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, part, segment = tokenizer_cache(tokenizer), TaskContext.get().partitionId(), 0
@@ -85,7 +142,7 @@ def write_segments(
             yield close()
 
     chosen = [F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source")]
-    rows = docs.select(*chosen, F.col(f"`{text}`").alias("text")).mapInArrow(encode, SEGMENT)
+    rows = in_turns(docs.select(*chosen, F.col(f"`{text}`").alias("text")), targets).mapInArrow(encode, SEGMENT)
     rows.write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path)
 
 
@@ -177,7 +234,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of the documents in the segments at ``path``, with their ids.
 
-    ``piece``: a source with less credit than this waits, unless its queue is shorter.
+    ``piece``: a source with less credit than this waits, unless its queue is shorter. ``targets``
+    must be those that the segments were written with.
     """
     if window & (window - 1) or window < 1:
         raise ValueError("window must be a power of two")
@@ -218,5 +276,9 @@ def pack(
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PIECE.split(", ")])
 
     segments = spark.read.schema(SEGMENT).parquet(path)
-    joined = segments.join(carried(spark, path, window, targets), ["part", "segment"])
+    # A few numbers per segment and source; if there were very many, Spark decides how to join them.
+    known = materialize(carried(spark, path, window, targets))
+    if (known.agg(F.sum(F.size("mix"))).first()[0] or 0) <= MOST_BROADCAST:
+        known = F.broadcast(known)
+    joined = segments.join(known, ["part", "segment"])
     return joined.mapInArrow(fill, PIECE)

@@ -182,6 +182,33 @@ def test_packing_carries_credit_over_segments(spark, tmp_path):
         sequence += r["n_tokens"] // 2048 + (r["n_tokens"] % 2048).bit_count()
 
 
+@pytest.mark.parametrize("targets", [None, {"a": 0.25, "b": 0.75}])
+def test_windows_of_a_table_sorted_by_source(spark, tmp_path, targets):
+    """Every full window has its sources in their shares; with targets, until b, which they ask
+    more of than there is, has ended."""
+    rng = random.Random(3)
+    words = [r["text"].split()[:300] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(50).collect()]
+    words = [w for w in sum(words, []) if w.isalpha()]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(50, 150))), s) for i, s in enumerate(["a"] * 1500 + ["b"] * 1500)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    packing.write_segments(docs, f"{tmp_path}/segments", public.path("word_bpe_49k.json"), 1, segment_tokens=40_000, targets=targets)
+    assert spark.read.parquet(f"{tmp_path}/segments").count() > 5
+    pieces = packing.pack(spark, f"{tmp_path}/segments", targets=targets).collect()
+    of, size = defaultdict(int), defaultdict(int)
+    for r in pieces:
+        of[r["sequence_id"]] += r["length"] * (r["source"] == "a")
+        size[r["sequence_id"]] += r["length"]
+    full = [i for i in sorted(size) if size[i] == 2048]
+    share = np.array([of[i] / 2048 for i in full])
+    if targets is None:
+        assert np.mean(abs(share - 0.5) < 0.2) > 0.9
+    else:
+        # All of b and a third as much of a, two thirds of all ids; then only a is left.
+        early, late = share[: int(0.62 * len(full))], share[int(0.72 * len(full)) :]
+        assert np.mean(abs(early - 0.25) < 0.2) > 0.9 and np.mean(late) > 0.97
+
+
 def test_turns_follow_targets():
     supply = [[(i, 700) for i in range(100)], [(1000 + i, 90) for i in range(1000)]]
     windows = list(packing.take_turns(supply, [0.25, 0.75], [0.0, 0.0], 2048, 256))
