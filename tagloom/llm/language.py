@@ -8,7 +8,9 @@ beyond the first, is largest; sets are nested by descending share. Where the ful
 less than one penalty over the best single language, no larger set can win and none is tried.
 
 The language of a document is that with the largest share in the chosen set, the first by name
-among equals; the score is that share. A null text or one without a letter is ``und`` with score
+among equals; the score is that share. Shares sum to one whatever the text is, so that it is of any
+of the languages at all shows only in ``fit``, its log-likelihood a letter under the chosen
+mixture: ``known`` tells by bands that are measured on labelled documents. A null text or one without a letter is ``und`` with score
 0, as is every text when nothing was learned. Only the text is looked at.
 """
 
@@ -30,6 +32,9 @@ PLACES = 1 << 15
 ROUNDS = 8
 #: Log-likelihood that each further language must bring, times the logarithm of the words.
 PENALTY = 4.0
+#: How far below the median of its languages the fit of a text may lie, in deviations; least
+#: deviation as a share of the median; letters at which that is widened by the root of two.
+FAR, LEAST_DEVIATION, FEW_LETTERS = 12.0, 0.02, 400
 
 #: Letters lower-cased, bytes of longer characters as they are, everything else 0.
 LETTER = np.zeros(256, np.uint8)
@@ -112,11 +117,17 @@ def _mixture(like: np.ndarray, starts: np.ndarray, allowed: np.ndarray) -> tuple
 
 def shares(texts: pa.Array, model: Model) -> np.ndarray:
     """(texts, languages): shares in the chosen set; all zero where there is nothing to go by."""
+    return mixtures(texts, model)[0]
+
+
+def mixtures(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shares, the log-likelihood a letter under them, and the number of letters (as bytes)."""
     places, begin, of = _trigrams(texts)
-    out = np.zeros((len(texts), len(model.languages)), np.float32)
+    letters = np.diff(np.append(begin, len(places))[of])
+    out, fit = np.zeros((len(texts), len(model.languages)), np.float32), np.zeros(len(texts))
     docs = np.flatnonzero(np.diff(of))
     if not len(docs) or not model.languages:
-        return out
+        return out, fit, letters
     starts = np.append(of[docs], of[-1])
     words = np.diff(starts)
     logs = np.add.reduceat(model.scores[places], begin, axis=0)
@@ -145,20 +156,23 @@ def shares(texts: pa.Array, model: Model) -> np.ndarray:
         mixed = mixed[full[mixed] - penalty[mixed] * size > value[mixed]]
         size += 1
     out[docs] = chosen
-    return out
+    # Words that no chosen language knows count with what is left of them in the scaled likelihoods.
+    word = np.log(np.maximum((like * np.repeat(chosen, words, axis=0)).sum(axis=1), 1e-30)) + best[:, 0]
+    fit[docs] = np.add.reduceat(word.astype(np.float64), starts[:-1]) / letters[docs]
+    return out, fit, letters
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns, and lang_pred, score, languages (those of the chosen set with their shares);
-    columns with one of these names give way."""
-    docs = docs.drop("lang_pred", "score", "languages")
+    """All columns, and lang_pred, score, languages (those of the chosen set with their shares), fit
+    and letters; columns with one of these names give way."""
+    docs = docs.drop("lang_pred", "score", "languages", "fit", "letters")
     place = docs.columns.index(text)
-    names = [*docs.columns, "lang_pred", "score", "languages"]
+    names = [*docs.columns, "lang_pred", "score", "languages", "fit", "letters"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, place, 1 << 20):
             texts = batch.column(place)
-            found = shares(texts, model)
+            found, fit, size = mixtures(texts, model)
             letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             if not model.languages:
                 letters[:] = False
@@ -171,10 +185,36 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 for row, known in zip(found.tolist(), letters)
             ]
             extra = [pa.array(langs, pa.string()), pa.array(score), pa.array(sets, pa.map_(pa.string(), pa.float64()))]
+            extra += [pa.array(fit), pa.array(size.astype(np.int64))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=names)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{kept}, lang_pred string, score double, languages map<string, double>")
+    return docs.mapInArrow(run, f"{kept}, lang_pred string, score double, languages map<string, double>, fit double, letters bigint")
+
+
+def bands(predicted: DataFrame, label: str = "lang") -> dict[str, tuple[float, float]]:
+    """Language -> median and deviation, as estimated from the lower quartile, of ``fit`` over all
+    documents labelled and taken as it. The languages of the model, at most."""
+    own = predicted.where(F.col(f"`{label}`") == F.col("lang_pred")).groupBy("lang_pred")
+    rows = own.agg(F.percentile_approx("fit", F.array(F.lit(0.5), F.lit(0.25)), 10_000).alias("q")).collect()
+    return {r["lang_pred"]: (r["q"][0], max((r["q"][0] - r["q"][1]) / 0.6745, -LEAST_DEVIATION * r["q"][0])) for r in rows}
+
+
+def known(measured: dict[str, tuple[float, float]]) -> Column:
+    """Whether a predicted text is of its languages: ``fit`` lies no more than ``FAR`` deviations,
+    more for few letters, below the medians of its languages by their shares. A language without a
+    band has none to lie below."""
+    if not measured:
+        return F.lit(True)
+    of = F.create_map(*[F.lit(x) for name, band in measured.items() for x in (name, F.array(*map(F.lit, band)))])
+    shares = F.map_entries("languages")
+    all_known = F.forall(shares, lambda e: F.array_contains(F.map_keys(of), e["key"]))
+
+    def mixed(k: int) -> Column:
+        return F.aggregate(shares, F.lit(0.0), lambda a, e: a + e["value"] * F.try_element_at(of, e["key"])[k])
+
+    wider = F.sqrt(1 + FEW_LETTERS / F.greatest(F.col("letters"), F.lit(1)))
+    return ~all_known | (F.col("fit") >= mixed(0) - FAR * mixed(1) * wider)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

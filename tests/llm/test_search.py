@@ -1,5 +1,6 @@
 """Neighbours, hosts and the pipeline against plain versions."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -211,6 +212,24 @@ def test_stages_keep_columns_and_drop_what_they_judge(spark, tmp_path):
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == set(ids(docs))
 
 
+def test_language_rejects_text_of_no_learned_language(spark, tmp_path):
+    rng = random.Random(6)
+    given = [tuple(r)[:4] for r in spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet").collect()]
+    words = defaultdict(list)
+    for _, text, lang, _ in given:
+        words[lang] += text.split()
+    noise = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randrange(2, 10))) for _ in range(200))
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+    more = [
+        (20_001, noise("абвгдежзийклмнопрстуфхцчшщыэюя"), "es", "s"), (20_002, noise("abcdefghijklmnopqrstuvwxyz"), "en", "s"),
+        (20_003, polish * 8, None, "s"), (20_004, " ".join(words["de"][:300] + words["fr"][:300]), "de", "s"),
+    ]
+    folder = write_documents(spark, tmp_path, [*given, *more])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    left = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, folder).select("doc_id").collect()}
+    assert {r[0] for r in (*given, *more)} - left == {20_001, 20_002, 20_003}
+
+
 def test_run(spark, odd_documents, no_documents):  # noqa: F811
     assert corpus_pipeline.run(spark, no_documents).count() == 0
     packed = corpus_pipeline.run(spark, odd_documents[0])
