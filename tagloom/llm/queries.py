@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, chat, fertility, forest, hostrank, language, neardup, packing, pseudonyms, wavelet
+from tagloom.llm import (
+    bpe, centroids, chat, exact, fertility, forest, hostrank, language, neardup, packing, pseudonyms, runs, wavelet,
+)
 from tagloom.session import scratch_path
 
 
@@ -99,6 +101,18 @@ def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.judge(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_shards": op2_token_shards,
@@ -110,6 +124,9 @@ QUERIES = {
     "op8_chosen_path": op8_chosen_path,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_host_trust": op10_host_trust,
+    "op11_exact_copies": op11_exact_copies,
+    "op12_ns_bounds": op12_ns_bounds,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_exact_copies": exact.ORACLE, "op12_ns_bounds": centroids.oracle_sql()}
