@@ -2,7 +2,7 @@
 
 New events are inserted; an existing event is updated only where it differs; nothing
 is deleted. The plan touches the staged days and sites only, and writes only the (day, site)
-partitions in which a row changed, as a new version of the table (see ``sinks.versions``).
+partitions in which a row changed, in folders of their own (see ``sinks.current``).
 
 An event without site, tag or timestamp has no key: it is set aside with its reason, neither
 merged nor dropped without a word.
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tagloom.functions import partition_date
 from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA, MERGE_UPDATED_COLUMNS, TABLE_COLUMNS
 from tagloom.session import drop_scratch, scratch_path
-from tagloom.sinks.versions import INSERT, KEEP, UPDATE, merge_into, read_or_empty, read_versions
+from tagloom.sinks.current import INSERT, KEEP, UPDATE, merge_into, read_current, read_or_empty
 
 TABLE_SCHEMA = T.StructType([
     *EVENT_SCHEMA.fields,
@@ -120,7 +120,7 @@ def merge_rows(target: DataFrame, staging: DataFrame, compare: str = "value", no
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The event table; empty where nothing was written yet."""
-    return read_versions(spark, path, TABLE_SCHEMA)
+    return read_current(spark, path, TABLE_SCHEMA)
 
 
 def reconcile(

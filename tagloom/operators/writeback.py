@@ -11,7 +11,7 @@ from tagloom.operators.enrich import enrich
 from tagloom.operators.latest import latest_per_key
 from tagloom.operators.resolve import valid_points
 from tagloom.session import drop_scratch, scratch_path
-from tagloom.sinks.versions import INSERT, KEEP, UPDATE, merge_into, read_versions
+from tagloom.sinks.current import INSERT, KEEP, UPDATE, merge_into, read_current
 
 _PAYLOAD = "site string, tag string, timestamp string, value string, istat string, wait string"
 
@@ -108,7 +108,7 @@ def archive_rows(requests: DataFrame) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return read_versions(spark, path, ARCHIVE_SCHEMA)
+    return read_current(spark, path, ARCHIVE_SCHEMA)
 
 
 def _merged_archive(stored: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -317,25 +317,27 @@ def q24_retention(spark, sf_dir):
     return left.withColumn("event_date", F.col("event_date").cast("string"))
 
 
-STREAM_FILES = 4
+#: Micro-batches of a stream, and files of each.
+STREAM_BATCHES, BATCH_FILES = 4, 2
 
 
 def _event_stream(spark, sf_dir, twice: bool = False) -> DataFrame:
-    """The events as files by time, one per micro-batch; ``twice``: the first half once more."""
+    """The events by time, a quarter per micro-batch; ``twice``: the first half once more."""
     A.ensure_utc(spark)
     raw = spark.read.schema(A.EVENT_TABLE).parquet(f"{sf_dir}/events.parquet")
     folder = scratch_path(spark, "arriving")
-    cuts = [r * 1.0 / STREAM_FILES for r in range(1, STREAM_FILES)]
+    cuts = [r * 1.0 / STREAM_BATCHES for r in range(1, STREAM_BATCHES)]
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     bounds = raw.agg(F.percentile_approx(at, F.array(*map(F.lit, cuts)), 10_000)).first()[0] or []
     piece = F.lit(0)
     for bound in bounds:
         piece = piece + (at > F.lit(bound)).cast("int")
     pieces = raw.withColumn("piece", piece)
-    for k in [*range(STREAM_FILES), *(range(STREAM_FILES // 2) if twice else ())]:
-        # A file per append, so that a stream source reads them in this order.
-        pieces.where(F.col("piece") == k).drop("piece").coalesce(1).write.mode("append").parquet(folder)
-    return file_stream(spark, folder, raw.schema, max_files_per_trigger=1)
+    for k in [*range(STREAM_BATCHES), *(range(STREAM_BATCHES // 2) if twice else ())]:
+        # So many files per append, so that a stream source reads a piece as one batch, in this order.
+        own = pieces.where(F.col("piece") == k).drop("piece")
+        own.repartition(BATCH_FILES).write.mode("append").parquet(folder)
+    return file_stream(spark, folder, raw.schema, max_files_per_trigger=BATCH_FILES)
 
 
 def _run(stream: DataFrame, on_batch, checkpoint: str) -> None:
@@ -343,8 +345,8 @@ def _run(stream: DataFrame, on_batch, checkpoint: str) -> None:
     batches = []
     query = start(stream, lambda df, n: (batches.append(n), on_batch(df, n))[1], checkpoint)
     query.awaitTermination()
-    if len(set(batches)) < STREAM_FILES:
-        raise RuntimeError(f"{len(set(batches))} micro-batches, expected {STREAM_FILES} at least")
+    if len(set(batches)) < STREAM_BATCHES:
+        raise RuntimeError(f"{len(set(batches))} micro-batches, expected {STREAM_BATCHES} at least")
 
 
 def _loaders(spark, sf_dir):
@@ -545,13 +547,7 @@ def q36_stored_inputs(spark, sf_dir):
 def q37_unknown_sites(spark, sf_dir):
     """Which of the asked sites the site table does not have."""
     site_table = A.sites(A.tags(A.samples(spark, sf_dir)))
-    try:
-        site_source.select_sites(site_table, "site2,nowhere,site1,elsewhere")
-        unknown = []
-    except ValueError as problem:
-        unknown = str(problem).split(": ")[1].split(", ")
-    named = F.explode(F.array(*map(F.lit, unknown))).alias("unknown_site")
-    return site_table.select(named).distinct()
+    return site_source.unknown_sites(site_table, ["site2", "nowhere", "site1", "elsewhere"])
 
 
 def q38_files_and_paths(spark, sf_dir):
@@ -567,6 +563,39 @@ def q38_files_and_paths(spark, sf_dir):
         folder.alias("folder"), "n_events", "has_files", (folder == F.lit(base)).alias("is_first"))
 
 
+def _corrected(rows: DataFrame) -> DataFrame:
+    """Events of every fifth id with another value."""
+    fifth = F.conv(F.substring("event_id", 1, 4), 16, 10).cast("bigint") % 5 == 0
+    return rows.withColumn("value", F.when(fifth, F.concat(F.lit("corrected "), "event_id")).otherwise(F.col("value")))
+
+
+def q39_retention_after_merge(spark, sf_dir):
+    """Days merged, corrected by a second merge and then aged: what is left, and in which folders."""
+    rows = materialize(_canonical(spark, sf_dir))
+    path = scratch_path(spark, "merged-days")
+    merge.reconcile(spark, path, rows)
+    merge.reconcile(spark, path, _corrected(rows))
+    newest = merge.read_table(spark, path).agg(F.max("event_date")).first()[0]
+    tables.drop_expired(spark, path, newest, KEEP_DAYS)
+    kept = merge.read_table(spark, path).groupBy("event_date", "site").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count(F.when(F.col("value").startswith("corrected"), 1)).alias("n_corrected"))
+    places = tables.partition_paths(spark, path).select("event_date", "site", F.size("folders").cast("bigint").alias("n_folders"))
+    return kept.join(places, ["event_date", "site"], "full_outer").withColumn("event_date", F.col("event_date").cast("string"))
+
+
+def q40_overwrite_after_merge(spark, sf_dir):
+    """Days merged and corrected, then a rerun of one tag over them: a day and site it has is
+    replaced whole, the corrections of others stay."""
+    rows = materialize(_canonical(spark, sf_dir))
+    path = scratch_path(spark, "merged-days")
+    merge.reconcile(spark, path, rows)
+    merge.reconcile(spark, path, _corrected(rows))
+    rerun = rows.where((F.col("tag") == "ERROR") & (F.col("quality") == "DIGITAL_STATE"))
+    tables.overwrite_partitions(tables.with_ingestion_time(rerun), path)
+    kept = _iso(merge.read_table(spark, path), "timestamp")
+    return kept.select(F.col("event_date").cast("string"), *EVENT_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     name: made for name, made in sorted(globals().items()) if name[0] == "q" and name[1:3].isdigit()
 }

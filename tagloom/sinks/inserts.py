@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.functions import partition_date
-from tagloom.operators.merge import REJECT, read_table, set_aside, with_reason
+from tagloom.operators.merge import REJECT, TABLE_SCHEMA, set_aside, with_reason
 from tagloom.schema import TABLE_COLUMNS
 from tagloom.session import drop_scratch, scratch_path
+from tagloom.sinks.current import INSERT, add_rows, current, read_current
 from tagloom.sinks.tables import with_ingestion_time
-from tagloom.sinks.versions import INSERT, write_version
 
 
 def insert_new(spark: SparkSession, path: str, events: DataFrame) -> dict[str, int]:
@@ -17,24 +18,27 @@ def insert_new(spark: SparkSession, path: str, events: DataFrame) -> dict[str, i
     inserted and rejected (see ``operators.merge.read_rejected``).
 
     Only the days and sites of the batch are read, and of them the ids. The new rows are one
-    version of the table: a run that dies has stored nothing, and a repeated one stores nothing
+    folder of the table: a run that dies has stored nothing, and a repeated one stores nothing
     twice. Copies of an id have the same site, tag and time; any of them is kept. Each call adds at
-    least one file to each (day, site) of the batch: gather them with ``compact_days`` once a day
+    least one file to each (day, site) of the batch: gather them with ``rewrite_days`` once a day
     is over, and drop repeats in the stream by watermark first.
     """
     batch_path = scratch_path(spark, "batch")
-    with_reason(events).write.parquet(batch_path)
+    bad = Observation("rejected")
+    checked = with_reason(events).observe(bad, F.count("reason").alias("n"))
+    checked.withColumn("event_date", partition_date("timestamp")).write.parquet(batch_path)
     batch = spark.read.parquet(batch_path)
-    rejected = set_aside(spark, path, batch)
-    good = batch.where("reason IS NULL").withColumn("event_date", partition_date("timestamp"))
-    table = read_table(spark, path)
-    stored = table.join(good.select("event_date", "site").distinct(), ["event_date", "site"], "left_semi")
+    rejected = set_aside(spark, path, batch) if bad.get["n"] else 0
+    good = batch.where("reason IS NULL").dropDuplicates(["event_id"])
+    at = current(spark, path)
+    pairs = good.select("event_date", "site").distinct()
+    stored = read_current(spark, path, TABLE_SCHEMA, at).join(pairs, ["event_date", "site"], "left_semi")
     fresh = good.join(stored.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti")
     fresh_path = scratch_path(spark, "fresh")
-    with_ingestion_time(fresh.dropDuplicates(["event_id"])).select(*TABLE_COLUMNS).write.parquet(fresh_path)
-    rows = spark.read.parquet(fresh_path)
-    inserted = rows.count()
+    seen = Observation("inserted")
+    fresh.observe(seen, F.count(F.lit(1)).alias("n")).drop("reason").write.parquet(fresh_path)
+    inserted = seen.get["n"]
     if inserted:
-        write_version(rows, path)
+        add_rows(with_ingestion_time(spark.read.parquet(fresh_path)).select(*TABLE_COLUMNS), path, at)
     drop_scratch(spark, batch_path, fresh_path)
     return {INSERT: inserted, **({REJECT: rejected} if rejected else {})}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions import event_json, partition_date
+from tagloom.sinks.current import PAIR, PLAIN, current, drop_days, listed, read_current, replace_partitions
 
 PARTITION_COLUMNS = ["event_date", "site"]
 CLUSTER_COLUMNS = ["event_date", "site", "tag", "timestamp"]
@@ -43,14 +44,23 @@ def overwrite_partitions(
     """Replace every (day, site) present in ``events`` and leave the others alone.
 
     A rerun replaces a whole (day, site) even with partial data; use the merge to add to one.
-    ``path`` may be any URI Spark can write: local, HDFS or object storage.
+    ``path`` may be any URI Spark can write: local, HDFS or object storage. Folders are replaced in
+    place; in a table that was merged into, the pointers of these days and sites are switched (see
+    ``sinks.current``).
     """
-    rows = clustered(events if "event_date" in events.columns else with_event_date(events))
+    if file_format not in ("parquet", "jsonl"):
+        raise ValueError("file_format must be 'parquet' or 'jsonl'")
+    rows = events if "event_date" in events.columns else with_event_date(events)
+    at = current(events.sparkSession, path)
+    if at.listing is not None:
+        if file_format == "jsonl":
+            raise ValueError("a table that was merged into holds parquet only")
+        replace_partitions(rows, path, at, max_records_per_file=max_records_per_file)
+        return
+    rows = clustered(rows)
     if file_format == "jsonl":
         # The partition values are in the directory names, the full event in the line.
         rows = rows.select(*PARTITION_COLUMNS, event_json().alias("value"))
-    elif file_format != "parquet":
-        raise ValueError("file_format must be 'parquet' or 'jsonl'")
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -62,13 +72,21 @@ def overwrite_partitions(
 
 
 def partition_path(base: str, event_date: str, site: str) -> str:
-    """Where the events of one day and site are."""
+    """Where a plain writer leaves the events of one day and site."""
     return f"{base.rstrip('/')}/event_date={event_date}/site={site}"
 
 
+def partition_paths(spark: SparkSession, path: str) -> DataFrame:
+    """The folders of each day and site now: one, or more after inserts (see ``rewrite_days``)."""
+    base = F.when(F.col("folder") == PLAIN, F.lit(path.rstrip("/"))).otherwise(
+        F.concat(F.lit(f"{path.rstrip('/')}/_rows/folder="), "folder"))
+    place = F.concat(base, F.lit("/event_date="), F.col("event_date").cast("string"), F.lit("/site="), "site")
+    return listed(spark, path).groupBy("event_date", "site").agg(F.sort_array(F.collect_set(place)).alias("folders"))
+
+
 def files_per_day(spark: SparkSession, path: str) -> DataFrame:
-    """Number of data files of each day, from file metadata only."""
-    files = spark.read.parquet(path).select("event_date", F.col("_metadata.file_path").alias("file")).distinct()
+    """Number of data files of each day that the table holds now, from file metadata only."""
+    files = read_current(spark, path, PAIR, files=True).select("event_date", "file").distinct()
     return files.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_files"))
 
 
@@ -76,16 +94,7 @@ def drop_expired(spark: SparkSession, path: str, today: date, keep_days: int) ->
     """Delete day partitions older than ``keep_days`` before ``today``; returns their names."""
     if keep_days < 0:
         raise ValueError("keep_days must not be negative")
-    oldest = today - timedelta(days=keep_days)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    dropped = []
-    for entry in files.listStatus(folder):
-        name = entry.getPath().getName()
-        if entry.isDirectory() and name.startswith("event_date=") and name[11:] < oldest.isoformat():
-            files.delete(entry.getPath(), True)
-            dropped.append(name[11:])
-    return sorted(dropped)
+    return drop_days(spark, path, today - timedelta(days=keep_days))
 
 
 def batch_summary(events: DataFrame) -> DataFrame:

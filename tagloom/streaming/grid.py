@@ -26,7 +26,7 @@ from tagloom.operators.grid import GridSpec
 from tagloom.operators.value_at_time import FIELDS, KEYS, cell_summary, interpolated
 from tagloom.schema import READING_SCHEMA
 from tagloom.session import drop_scratch
-from tagloom.sinks.versions import read_or_empty
+from tagloom.sinks.current import read_or_empty
 
 OUTPUT_SCHEMA = T.StructType([
     *READING_SCHEMA.fields[:4],

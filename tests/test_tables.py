@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import event_id
 from tagloom.operators import chunks, dimensions, latest, merge, reports, writeback
 from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
-from tagloom.sinks import choose_sink, tables, versions
+from tagloom.sinks import choose_sink, current, tables
 from tagloom.sinks.inserts import insert_new
 from tagloom.sinks.registry import with_retry
 from tagloom.sources import dimensions as dims
@@ -115,13 +115,17 @@ def test_merge_writes_only_changed_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     merge.reconcile(spark, path, events(spark, DAY))
     merge.reconcile(spark, path, events(spark, [("s1", "A", "2026-01-01 10:00:00", "9.0"), ("s2", "A", "2026-01-01 10:00:00", "3.0")]))
-    written = {os.path.dirname(p)[len(path) + 1:] for p in glob.glob(f"{path}/_versions/version=2/*/*/*.parquet")}
-    assert written == {"_versions/version=2/event_date=2026-01-01/site=s1"}
+    places = lambda: {tuple(r) for r in current.listed(spark, path).select(F.col("event_date").cast("string"), "site", "folder").collect()}
+    older = {folder for _, _, folder in places()}
+    written = {(day, site): folder for day, site, folder in places()}
+    assert written.keys() == {("2026-01-01", "s1"), ("2026-01-01", "s2"), ("2026-01-02", "s1")} and len(older) == 2
+    second = {p.split("/folder=")[1] for p in glob.glob(f"{path}/_rows/*/*/*") if written["2026-01-01", "s1"] in p}
+    assert second == {f"{written['2026-01-01', 's1']}/event_date=2026-01-01/site=s1"}
     # New rows are added beside the stored ones; unchanged ones write nothing.
     merge.reconcile(spark, path, events(spark, [("s2", "B", "2026-01-01 10:00:00", "9.0"), DAY[3]]))
-    added = spark.read.parquet(f"{path}/_versions/version=3")
-    assert [(r.site, r.tag) for r in added.collect()] == [("s2", "B")]
-    assert merge.reconcile(spark, path, events(spark, DAY[1:2])) == {"keep": 2} and versions.last_version(spark, path) == 3
+    (added,) = {folder for _, _, folder in places()} - older
+    assert [(r.site, r.tag) for r in spark.read.parquet(f"{path}/_rows/folder={added}").collect()] == [("s2", "B")]
+    assert merge.reconcile(spark, path, events(spark, DAY[1:2])) == {"keep": 2} and current.current(spark, path).number == 3
 
 
 INCOMPLETE = [(None, "A", "2026-01-01 10:00:00", "1"), ("s1", None, "2026-01-01 10:00:00", "2"), ("s1", None, "2026-01-01 11:00:00", "3"),
@@ -150,10 +154,10 @@ def test_interrupted_merge_loses_nothing(spark, tmp_path, monkeypatch):
         raise RuntimeError("lost between the rows and the commit")
 
     with monkeypatch.context() as m:
-        m.setattr(versions, "commit", broken)
+        m.setattr(current, "put_pointer", broken)
         with pytest.raises(RuntimeError):
             merge.reconcile(spark, path, changed)
-    assert os.path.isdir(f"{path}/_versions/version=2") and stored(spark, path) == before
+    assert len(os.listdir(f"{path}/_rows")) == 2 and stored(spark, path) == before
     assert merge.reconcile(spark, path, changed) == {"insert": 1, "update": 1, "keep": 1}
     assert len(stored(spark, path)) == 5 and ("s1", "A", "2026-01-01 10:00:00", "9.0", "GOOD") in stored(spark, path)
 
@@ -171,7 +175,7 @@ def test_interrupted_archive_put_loses_nothing(spark, tmp_path, monkeypatch):
     assert writeback.put_archive(spark, path, requests(("A", "2026-01-01", 1.0, "2026-02-01", "m1"), ("B", "2026-01-01", 2.0, "2026-02-01", "m2"))) == {"insert": 2}
     later = requests(("A", "2026-01-01", 3.0, "2026-02-02", "m3"), ("B", "2026-01-01", 9.0, "2026-01-31", "m0"), ("C", "2026-01-02", 4.0, "2026-02-02", "m4"))
     with monkeypatch.context() as m:
-        m.setattr(versions, "commit", lambda *a: 1 / 0)
+        m.setattr(current, "put_pointer", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             writeback.put_archive(spark, path, later)
     assert read() == [("A", 1.0, "m1"), ("B", 2.0, "m2")]
@@ -180,18 +184,82 @@ def test_interrupted_archive_put_loses_nothing(spark, tmp_path, monkeypatch):
     assert writeback.put_archive(spark, path, later).keys() == {"keep"}
 
 
-def test_closed_days_are_compacted(spark, tmp_path):
+def test_closed_days_are_rewritten(spark, tmp_path):
     path = str(tmp_path / "t")
     for hour in range(6):
         insert_new(spark, path, events(spark, [("s1", "A", f"2026-01-0{d} 1{hour}:00:00", "1") for d in (1, 2)]))
     rows = stored(spark, path)
-    assert versions.compact_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 2)) == 1
-    assert stored(spark, path) == rows
-    assert versions.vacuum(spark, path, merge.TABLE_SCHEMA) == 6
-    assert stored(spark, path) == rows
-    day_files = lambda d: len(glob.glob(f"{path}/_versions/version=*/event_date=2026-01-0{d}/*/*.parquet"))
-    assert day_files(1) == 1 and day_files(2) == 6
-    assert versions.compact_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 2)) == 0
+    files = lambda: {str(r.event_date): r.n_files for r in tables.files_per_day(spark, path).collect()}
+    assert files() == {"2026-01-01": 6, "2026-01-02": 6}
+    assert current.rewrite_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 2)) == 1
+    assert stored(spark, path) == rows and files() == {"2026-01-01": 1, "2026-01-02": 6}
+    assert current.rewrite_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 2)) == 0
+    assert current.rewrite_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 3)) == 1
+    assert len(current.drop_unlisted(spark, path)) == 6 and len(os.listdir(f"{path}/_rows")) == 2
+    assert stored(spark, path) == rows and files() == {"2026-01-01": 1, "2026-01-02": 1}
+
+
+TEN_DAYS = [(s, "A", f"2026-01-{d:02d} 0{h}:00:00", "X") for s in ("s1", "s2") for d in range(1, 11) for h in range(3)]
+
+
+def test_retention_after_merges(spark, tmp_path):
+    """Of a plain table merged into, of merged rows and of inserted ones."""
+    path = str(tmp_path / "t")
+    tables.overwrite_partitions(tables.with_ingestion_time(events(spark, TEN_DAYS[:40])), path)
+    merge.reconcile(spark, path, events(spark, TEN_DAYS))
+    merge.reconcile(spark, path, events(spark, [(*r[:3], "Y") for r in TEN_DAYS[::6]]))
+    insert_new(spark, path, events(spark, [(r[0], "B", r[2], "Z") for r in TEN_DAYS]))
+    whole = stored(spark, path)
+    assert len(whole) == 120
+    assert tables.drop_expired(spark, path, date(2026, 1, 10), 7) == ["2026-01-01", "2026-01-02"]
+    left = [r for r in whole if r[2] >= "2026-01-03"]
+    assert stored(spark, path) == left and len(left) == 96
+    assert not glob.glob(f"{path}/**/event_date=2026-01-0[12]", recursive=True)
+    assert tables.drop_expired(spark, path, date(2026, 1, 10), 7) == []
+    # What comes back for a dropped day is new.
+    assert merge.reconcile(spark, path, events(spark, TEN_DAYS[:1]))["insert"] == 1
+    assert len(stored(spark, path)) == 97
+
+
+def test_overwrite_after_merges(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.reconcile(spark, path, events(spark, TEN_DAYS))
+    merge.reconcile(spark, path, events(spark, [(*r[:3], "Y") for r in TEN_DAYS[::2]]))
+    again = [r for r in TEN_DAYS if r[0] == "s1" and r[2] < "2026-01-04"]
+    sink = choose_sink("historical", "parquet", path=path)
+    for value in ("Z", "W"):
+        sink(tables.with_ingestion_time(events(spark, [(*r[:3], value) for r in again[1:]])))
+        assert [r for r in stored(spark, path) if r[0] == "s1" and r[2] < "2026-01-04"] == [(*r[:3], value, "GOOD") for r in again[1:]]
+    assert len(stored(spark, path)) == len(TEN_DAYS) - 1
+    assert sum(r.n_files for r in tables.files_per_day(spark, path).collect()) == 20
+    places = {(str(r.event_date), r.site): r.folders for r in tables.partition_paths(spark, path).collect()}
+    assert len(places) == 20 and all(len(f) == 1 and glob.glob(f"{f[0]}/*.parquet") for f in places.values())
+    assert places["2026-01-01", "s1"] != places["2026-01-01", "s2"]
+    with pytest.raises(ValueError, match="parquet only"):
+        tables.overwrite_partitions(events(spark, DAY), path, file_format="jsonl")
+
+
+def test_second_writer_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.reconcile(spark, path, events(spark, DAY[:1]))
+    at = current.current(spark, path)
+    insert_new(spark, path, events(spark, DAY[1:2]))
+    rows = tables.with_event_date(tables.with_ingestion_time(events(spark, DAY[2:3])))
+    with pytest.raises(current.ConcurrentWriteError):
+        current.add_rows(rows, path, at)
+    assert len(stored(spark, path)) == 2
+    current.add_rows(rows, path, current.current(spark, path))
+    assert len(stored(spark, path)) == 3
+
+
+def test_partitions_without_site_or_day(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = tables.with_ingestion_time(events(spark, [(None, "A", "2026-01-01", "1"), ("s1", "A", None, "2"), *DAY]))
+    tables.overwrite_partitions(rows, path)
+    merge.reconcile(spark, path, events(spark, DAY))
+    assert len(stored(spark, path)) == 6
+    tables.overwrite_partitions(rows.where("site IS NULL OR timestamp IS NULL").withColumn("value", F.lit("9")), path)
+    assert sorted(r[3] for r in stored(spark, path) if r[0] is None or r[2] is None) == ["9", "9"]
 
 
 def test_table_written_plainly_can_be_merged_into(spark, tmp_path):
