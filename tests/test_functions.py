@@ -61,12 +61,14 @@ def test_value_text_matches_python(spark):
     rng = random.Random(2)
     values = [0.0, -0.0, 1.0, -1.0, 1e7, 12345678.0, 1e15, 1e16, 1.5e-5, 1e-4, 9.999e-5, 0.001, 123456789.125,
               float("nan"), float("inf"), float("-inf"), 1e22, 5e-300, 1.7976931348623157e308, 0.1 + 0.2, 100.0,
-              1234567.1, 2e-3, 9999999.999, 10000000.001, 999999999999999.9, None]
+              1234567.1, 2e-3, 9999999.999, 10000000.001, 999999999999999.9, None, 9.5e15, 9999999999999998.0, 1e21, 1e23, 9.999999999999999e22,
+              5e-324, 2e-44, 1.2345e-7, 1e-5, -2.5e-10, 123456789012345680.0, 2.0**100]
     values += [round(rng.uniform(-500, 500), 2) for _ in range(2000)]
     values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-4, 16) for _ in range(6000)]
     values += [struct.unpack("f", struct.pack("f", rng.uniform(-1000, 1000)))[0] for _ in range(4000)]
     values += [rng.uniform(0.001, 1) ** rng.randrange(1, 3) * 10 ** rng.randrange(0, 7) for _ in range(20000)]
-    values = [v for v in values if v is None or v != v or v == 0 or not 1e-5 > abs(v) > 1e-290 or v == 1.5e-5]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(16, 34) for _ in range(6000)]
+    values = [v for v in values if v is None or v != v or v == 0 or not 1e-5 > abs(v) > 1e-290 or len(repr(v)) < 14]
     got = spark.createDataFrame([(v,) for v in values], "v double").select("v", fn.value_text("v").alias("t"))
     wrong = [(r.v, r.t) for r in got.collect() if r.t != (None if r.v is None else str(r.v))]
     assert wrong == []

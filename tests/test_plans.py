@@ -43,7 +43,7 @@ def test_generated_methods_can_be_compiled(spark):
     """The JVM leaves methods of more than 8000 bytes interpreted."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for name in ("q05_canonical_event", "q10_interpolated", "q04_classify", "q31_parse_datetime", "q19_write_requests_valid"):
+        for name in ("q05_canonical_event", "q10_interpolated", "q04_classify", "q31_parse_datetime", "q19_write_requests_valid", "q02_value_text"):
             df = QUERIES[name](spark, SF_DIR)
             text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
             sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
