@@ -64,6 +64,46 @@ def test_forest_dealt_out_over_parts(spark):
     assert recall(found, want) >= 0.93
 
 
+def test_forest_orders_ties_by_id(spark):
+    """0/1 vectors: hundreds of different vectors share every score."""
+    rows = [(i, [float(i >> b & 1) for b in range(13)], 0) for i in range(1, 8192)]
+    df = spark.createDataFrame(rows, VECTORS)
+    vectors = np.array([v for _, v, _ in rows])
+    ids = np.arange(1, 8192)
+    found = listed(forest.search(df, df.where("vec_id % 100 = 0")).collect())
+    assert len(found) == 81
+    for q, x in found.items():
+        scores = vectors @ vectors[q - 1]
+        scores[q - 1] = -1
+        order = np.lexsort((ids, -scores))[:20]
+        assert [i for i, _ in x] == ids[order].tolist() and [s for _, s in x] == scores[order].tolist()
+
+
+def test_forest_cuts_large_parts(spark):
+    """A very long vector gives all others one string, and a third of them are nearly equal: eighteen
+    blocks of a tree together find what one would."""
+    rng = np.random.default_rng(8)
+    near = rng.standard_normal(8) + 1e-4 * rng.standard_normal((600, 8))
+    vectors = np.concatenate([near, rng.standard_normal((1200, 8)), [[1e6] + [0.0] * 7]])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, VECTORS.replace("array<float>", "array<double>"))
+    found = listed(forest.search(df, df.where("vec_id % 60 = 0"), k=5, trees=8, first=40, part_size=100).collect())
+    want = exact_search(np.arange(1801), vectors, range(0, 1801, 60), 5)
+    assert recall(found, want) >= 0.9
+
+
+def test_forest_vectors_whose_square_overflows(spark):
+    rng = np.random.default_rng(9)
+    vectors = rng.standard_normal((60, 4)) * 10.0 ** rng.integers(150, 200, 60)[:, None]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], VECTORS.replace("array<float>", "array<double>"))
+    found = listed(forest.search(df, df.where("vec_id % 20 = 0"), k=3, trees=4).collect())
+    with np.errstate(over="ignore", invalid="ignore"):
+        for q, x in found.items():
+            scores = np.nan_to_num(np.cumsum(vectors * vectors[q], axis=1)[:, -1], nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+            order = [i for i in np.lexsort((np.arange(60), -scores)) if i != q][:3]
+            assert [i for i, _ in x] == order
+
+
 def test_forest_odd_rows(spark, tmp_path):
     same = [1.0, 2.0, 0.5]
     rows = [(i, same, 0) for i in range(60)]
