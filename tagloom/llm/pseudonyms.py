@@ -243,18 +243,22 @@ KINDS: list[tuple[str, re.Pattern, Callable[[re.Match, Permutation], str | None]
 
 def replace(text: str, permute: Permutation) -> tuple[str, list[str]]:
     """The text with pseudonyms, and the kinds that were replaced, in order of place."""
-    taken: list[tuple[int, int, str, str]] = []
+    taken: list[tuple[int, int, str, str]] = []  # apart from each other, in order of place
     for kind, pattern, change in KINDS:
+        fresh, at = [], 0
         for found in pattern.finditer(text):
             a, b = found.span()
-            if any(a < end and begin < b for begin, end, *_ in taken):
+            while at < len(taken) and taken[at][1] <= a:
+                at += 1
+            if at < len(taken) and taken[at][0] < b:
                 continue
             changed = change(found, permute)
             if changed is not None:
-                taken.append((a, b, changed, kind))
+                fresh.append((a, b, changed, kind))
+        if fresh:
+            taken = sorted(taken + fresh)  # two sorted runs, merged in one go
     if not taken:
         return text, []
-    taken.sort()
     out, at = [], 0
     for a, b, changed, _ in taken:
         out += [text[at:a], changed]
