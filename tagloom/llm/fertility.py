@@ -5,10 +5,14 @@ single bytes, and uses its tokens neither over and over nor all alike. Each docu
 by the pieces of a public SentencePiece vocabulary (word by word, punctuation after a letter
 apart), and three figures are held against bands: characters per token, share of byte tokens, and
 entropy of its tokens over the largest for their number (a thousand at most, since long texts
-repeat common words). Wide bands depend on the main script. A
-narrower one for characters per token is measured: within a language (or script, where no language
-is given) documents may lie below the median by some multiples of the distance between median and
-lower quartile, more for short documents and small languages, whose figures vary more.
+repeat common words). Wide bands depend on the main script. Narrower ones are measured, within a
+language (or script, where no language is given) among documents of about the same number of
+tokens, a power of two: characters per token and entropy may lie below the median by some multiples of
+the distance between median and lower quartile, byte tokens above it, and the first two together
+by less than both at once; cells of few documents are judged more mildly. Characters per token are
+held against the whole language too, which catches what lies alone in its cell. The bands come from all documents
+that do not fail the plain counts, labels play no part; they hold while junk is less than about
+a quarter of a cell.
 
 A document is first judged by plain counts: it fails with fewer than 50 words, or with more than
 half of its words in three-word windows that occur again. A null text has no words, so it fails.
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.tokens import ChunkCache, kept, plain, slices, text_buffers
@@ -195,20 +199,25 @@ def figures(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str
     return docs.select(*[F.col(f"`{c}`") for c in sent]).mapInArrow(run, head + FIGURES)
 
 
-#: How far below the median characters per token may lie, in standard deviations as estimated
-#: from the lower quartile; tokens and documents at which that is widened by the root of two.
-BELOW, FEW_TOKENS, FEW_DOCS = 3.5, 2000, 400
+#: How many standard deviations below the median of its cell a figure may lie, as estimated from the
+#: lower quartile (byte tokens: above, from the upper one); documents of a cell at which that is
+#: widened by the root of two; least deviation, as a share of the median (of byte tokens: of all).
+BELOW, FEW_DOCS, LEAST_DEVIATION = 3.5, 40, 0.01
+#: The same for the band of a whole language, and tokens of a document at which it is widened.
+FEW_DOCS_OF_ALL, FEW_TOKENS = 400, 2000
+#: Stands for all cells of a language.
+ALL = -1
 
 
-#: Languages that are broadcast, about a hundred bytes each.
+#: Cells that are broadcast, about two hundred bytes each.
 MOST_BROADCAST = 100_000
 
 
 def judge(
     measured: DataFrame, language: str | None = None, bands: dict[str, tuple[float, float, float, float]] = BANDS
 ) -> DataFrame:
-    """Adds base_failed and kept to the figures. ``measured`` is read twice, once for the medians
-    of all its documents that do not fail the plain counts; there is a row per language of those."""
+    """Adds base_failed and kept to the figures. ``measured`` is read twice, once for the quartiles
+    of all its documents that do not fail the plain counts; there is a row of those per cell."""
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     fits = F.lit(False)
     for script, (least, most, byte_share, entropy) in bands.items():
@@ -217,16 +226,37 @@ def judge(
             & (F.col("byte_share") <= byte_share) & (F.col("entropy") >= entropy)
         )
     group = F.coalesce(F.col(f"`{language}`"), F.col("script")) if language else F.col("script")
-    judged = measured.withColumns({"base_failed": failed, "_group": group})
-    quartiles = F.percentile_approx("chars_per_token", F.array(F.lit(0.5), F.lit(0.25)), 10_000)
-    usual = judged.where("NOT base_failed").groupBy("_group").agg(quartiles.alias("q"), F.count(F.lit(1)).alias("n"))
-    median = F.col("q")[0]
-    deviation = F.greatest((median - F.col("q")[1]) / 0.6745, 0.01 * median)
-    wider = F.sqrt(1 + FEW_TOKENS / F.greatest(F.col("n_tokens"), F.lit(1)) + FEW_DOCS / F.col("n"))
-    near = F.col("chars_per_token") >= median - BELOW * deviation * wider
-    kept = ~F.col("base_failed") & fits & F.coalesce(near, F.lit(True))
-    # A row per language; if there were very many, Spark decides how to join them.
+    cell = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
+    judged = measured.withColumns({"base_failed": failed, "_group": group, "_cell": cell})
+
+    def quartiles(c: str) -> Column:
+        return F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(f"q_{c}")
+
+    counted = judged.where("NOT base_failed").withColumn("_cell", F.explode(F.array("_cell", F.lit(ALL))))
+    usual = counted.groupBy("_group", "_cell").agg(
+        *[quartiles(c) for c in ("chars_per_token", "entropy", "byte_share")], F.count(F.lit(1)).alias("n"))
+    wider = F.sqrt(1 + FEW_DOCS / F.col("n"))
+
+    def below(c: str, wider: Column = wider, of: str = "") -> Column:
+        """Deviations below the median of the cell, or of the language."""
+        q = F.col(f"q_{of}{c}")
+        return (q[1] - F.col(c)) / (F.greatest((q[1] - q[0]) / 0.6745, LEAST_DEVIATION * q[1]) * wider)
+
+    shares = F.col("q_byte_share")
+    most = shares[1] + BELOW * wider * F.greatest((shares[2] - shares[1]) / 0.6745, F.lit(LEAST_DEVIATION))
+    # The two figures vary apart from each other, so their sum has a band of its own.
+    near = (
+        (below("chars_per_token") <= BELOW) & (below("entropy") <= BELOW) & (F.col("byte_share") <= most)
+        & (below("chars_per_token") + below("entropy") <= BELOW * 2**0.5)
+    )
+    wider_of_all = F.sqrt(1 + FEW_TOKENS / F.greatest(F.col("n_tokens"), F.lit(1)) + FEW_DOCS_OF_ALL / F.col("n_all"))
+    near_all = below("chars_per_token", wider_of_all, "all_") <= BELOW
+    kept = ~F.col("base_failed") & fits & F.coalesce(near, F.lit(True)) & F.coalesce(near_all, F.lit(True))
+    # Some thirty rows per language at most; if there were very many, Spark decides how to join them.
     usual = materialize(usual)
-    if usual.count() <= MOST_BROADCAST:
-        usual = F.broadcast(usual)
-    return judged.join(usual, "_group", "left").withColumn("kept", kept).drop("_group", "q", "n")
+    small = usual.count() <= MOST_BROADCAST
+    of_all = usual.where(F.col("_cell") == ALL).select(
+        "_group", F.col("q_chars_per_token").alias("q_all_chars_per_token"), F.col("n").alias("n_all"))
+    of_all, usual = (F.broadcast(t) if small else t for t in (of_all, usual))
+    judged = judged.join(usual, ["_group", "_cell"], "left").join(of_all, "_group", "left").withColumn("kept", kept)
+    return judged.drop("_group", "_cell", "q_chars_per_token", "q_entropy", "q_byte_share", "n", "q_all_chars_per_token", "n_all")

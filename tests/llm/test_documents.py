@@ -2,8 +2,8 @@
 
 import hashlib
 import random
-import time
 import re
+import time
 from collections import Counter, defaultdict
 from datetime import date
 
@@ -156,11 +156,50 @@ def test_fertility_rejects_junk_and_keeps_prose(spark, tmp_path):
     folder = write_documents(spark, tmp_path, [*rows, junk, bytes_only])
     kept = {r["doc_id"]: r["kept"] for r in fertile(spark.read.parquet(f"{folder}/documents.parquet"), ["doc_id", "lang"]).collect()}
     assert kept[prose[0]] and not kept[10_001] and not kept[10_002]
-    labels = spark.read.parquet(f"{TESTDATA}/sf0.01/labels.parquet").collect()
-    good = [r["doc_id"] for r in labels if r["quality"] == 1]
-    long_enough = {i for i, t, *_ in rows if not counts(t)[-1]}
-    share = np.mean([kept[i] for i in good if i in long_enough])
-    assert share > 0.99
+
+
+def plain_kept(figures, lang_of):
+    """``kept`` by numpy, from the figures of every document."""
+    from math import floor, log2, sqrt
+
+    cells = defaultdict(list)
+    for r in figures:
+        if not r["base_failed"]:
+            cells[lang_of[r["doc_id"]] or r["script"], floor(log2(max(r["n_tokens"], 1)))].append(r)
+
+    def quartiles(own, c):
+        return [sorted(r[c] for r in own)[max(0, -(-len(own) * k // 4) - 1)] for k in (1, 2, 3)]
+
+    out = {}
+    for r in figures:
+        own = cells.get((lang_of[r["doc_id"]] or r["script"], floor(log2(max(r["n_tokens"], 1)))), [])
+        least, most, byte_share, entropy = fertility.BANDS[r["script"]]
+        good = least <= r["chars_per_token"] <= most and r["byte_share"] <= byte_share and r["entropy"] >= entropy
+        if own:
+            wide, z = sqrt(1 + 40 / len(own)), {}
+            for c in ("chars_per_token", "entropy"):
+                q = quartiles(own, c)
+                z[c] = (q[1] - r[c]) / (max((q[1] - q[0]) / 0.6745, 0.01 * q[1]) * wide)
+            q = quartiles(own, "byte_share")
+            good = good and max(z.values()) <= 3.5 and sum(z.values()) <= 3.5 * sqrt(2)
+            language = [x for (of, _), some in cells.items() if of == (lang_of[r["doc_id"]] or r["script"]) for x in some]
+            q_all = quartiles(language, "chars_per_token")
+            deviation = max((q_all[1] - q_all[0]) / 0.6745, 0.01 * q_all[1]) * sqrt(1 + 2000 / max(r["n_tokens"], 1) + 400 / len(language))
+            good = good and q_all[1] - r["chars_per_token"] <= 3.5 * deviation
+            good = good and r["byte_share"] <= q[1] + 3.5 * wide * max((q[2] - q[1]) / 0.6745, 0.01)
+        out[r["doc_id"]] = not r["base_failed"] and good
+    return out
+
+
+def test_op5_kept_equals_a_plain_version_and_fits_the_labels(spark):
+    folder = f"{TESTDATA}/sf0.01"
+    rows = QUERIES["op5_token_fertility"](spark, folder).collect()
+    kept = {r["doc_id"]: r["kept"] for r in rows}
+    assert kept == plain_kept(rows, {r["doc_id"]: r["lang"] for r in documents(spark, folder)})
+    failed = {r["doc_id"] for r in rows if r["base_failed"]}
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    share = lambda q: np.mean([kept[r["doc_id"]] for r in labels if r["quality"] == q and r["doc_id"] not in failed])
+    assert share(1) > 0.98 and share(0) < 0.3
 
 
 def test_figures_of_tokens(spark):
