@@ -48,11 +48,20 @@ def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group, once. Without an id a document is in
-    no group."""
+    no group. Of rows with one id that with the smallest hash of its text stays, then that whose
+    columns come first as JSON."""
     shielded = _shielded(docs)
-    kept = neardup.near_duplicates(shielded).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = shielded.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return _restored(named.unionByName(shielded.where("doc_id IS NULL")), docs)
+    kept = neardup.near_duplicates(shielded).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count()
+    path = scratch_path(spark, "kept")
+    kept.write.parquet(path)
+    kept = spark.read.parquet(path)
+    left = shielded.where("doc_id IS NULL").unionByName(shielded.join(kept.where("count = 1"), "doc_id", "left_semi"))
+    if not kept.where("count > 1").isEmpty():
+        row = F.struct(*[c for c in shielded.columns if c != "doc_id"])
+        order = F.struct(F.md5("text"), F.to_json(row))
+        chosen = shielded.join(kept.where("count > 1"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, order).alias("row"))
+        left = left.unionByName(chosen.select("doc_id", "row.*"))
+    return _restored(left, docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
