@@ -143,6 +143,12 @@ def value_at_time(
     usable = enrich(
         range_samples(samples, grid, lookback, lookahead), wanted, KEYS, ["ts"], how="left_semi", **join_options
     )
+    return points_between(neighbours(usable, wanted, grid, cells_per_block), grid)
+
+
+def neighbours(usable: DataFrame, wanted: DataFrame, grid: GridSpec, cells_per_block: int = CELLS_PER_BLOCK) -> DataFrame:
+    """Stretches of grid instants, ``lo`` to ``hi``, with the samples before and after them in ``p_*``
+    and ``n_*``. ``usable`` holds good samples of the ``wanted`` tags only."""
     # Used twice below; nothing is filtered from either use, so that both read one shuffle.
     cells = cell_summary(usable, grid).withColumn("block", _block_of(grid, cells_per_block))
     rows = cells.select(*KEYS, "block", "cell", *_COLUMNS).unionByName(
@@ -167,8 +173,13 @@ def value_at_time(
         ).alias("block_end"),
     ).where(F.col("next_cell").isNotNull())
     hi = F.least(F.col("next_cell"), F.col("block_end") - 1)
-    points = gaps.where(F.col("lo") <= hi).select(
-        *KEYS, *[f"{side}_{f}" for side in ("p", "n") for f in FIELDS], F.explode(F.sequence("lo", hi)).alias("cell")
+    return gaps.withColumn("hi", hi).where("lo <= hi").drop("next_cell", "block_end")
+
+
+def points_between(gaps: DataFrame, grid: GridSpec) -> DataFrame:
+    """The value at every instant of the stretches that ``neighbours`` gives."""
+    points = gaps.select(
+        *KEYS, *[f"{side}_{f}" for side in ("p", "n") for f in FIELDS], F.explode(F.sequence("lo", "hi")).alias("cell")
     )
     at = points.withColumn("g", grid.instant_micros(F.col("cell")))
     return at.select(*KEYS, F.timestamp_micros("g").alias("ts"), *interpolated())

@@ -15,7 +15,7 @@ from tagloom.operators.value_at_time import value_at_time
 from tagloom.plans import adapters as A
 from tagloom.options import ReadOptions
 from tagloom.plans.jobs import run_realtime, stored_events
-from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
+from tagloom.schema import EVENT_COLUMNS, EVENT_SCHEMA, READING_SCHEMA
 from tagloom.session import materialize, scratch_path
 from tagloom.sinks import messages as msg
 from tagloom.sinks import tables
@@ -25,7 +25,10 @@ from tagloom.sources import events as event_source
 from tagloom.sources import readings as reading_source
 from tagloom.sources import sites as site_source
 from tagloom.sources import tags as tag_source
-from tagloom.streaming import GridStream, deduplicated, event_batches, file_stream, request_batches, start
+from tagloom.streaming import (
+    GridStream, closing, deduplicated, event_batches, file_stream, keyed_grid, request_batches, start,
+)
+from tagloom.streaming.grid import OUTPUT_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -321,8 +324,9 @@ def q24_retention(spark, sf_dir):
 STREAM_BATCHES, BATCH_FILES = 4, 2
 
 
-def _event_stream(spark, sf_dir, twice: bool = False) -> DataFrame:
-    """The events by time, a quarter per micro-batch; ``twice``: the first half once more."""
+def _event_stream(spark, sf_dir, twice: bool = False, shuffled: bool = False) -> DataFrame:
+    """The events by time, a quarter per micro-batch; ``twice``: the first half once more;
+    ``shuffled``: in no order."""
     A.ensure_utc(spark)
     raw = spark.read.schema(A.EVENT_TABLE).parquet(f"{sf_dir}/events.parquet")
     folder = scratch_path(spark, "arriving")
@@ -332,6 +336,8 @@ def _event_stream(spark, sf_dir, twice: bool = False) -> DataFrame:
     piece = F.lit(0)
     for bound in bounds:
         piece = piece + (at > F.lit(bound)).cast("int")
+    if shuffled:
+        piece = F.pmod(F.xxhash64("event_id"), F.lit(STREAM_BATCHES)).cast("int")
     pieces = raw.withColumn("piece", piece)
     for k in [*range(STREAM_BATCHES), *(range(STREAM_BATCHES // 2) if twice else ())]:
         # So many files per append, so that a stream source reads a piece as one batch, in this order.
@@ -480,6 +486,45 @@ def q33_stream_grid_parity(spark, sf_dir):
     return _iso(sampler.output(), "ts").select("site", "tag", "ts", "rval", "istat", "no_data")
 
 
+def q42_keyed_grid_parity(spark, sf_dir):
+    """The grid by a state per tag in the state store; the last piece of the stream ends the range."""
+    readings = A.samples(spark, sf_dir)
+    tag_table, spec = A.tags(readings), _grid(readings)
+    folder, out = scratch_path(spark, "readings"), scratch_path(spark, "sampled")
+    first, last = (at.timestamp() for at in A.day_range(readings))
+    piece = F.floor((F.col("ts").cast("double") - first) / ((last - first) / STREAM_BATCHES))
+    for k in range(STREAM_BATCHES):
+        readings.where(piece == k).repartition(BATCH_FILES).write.mode("append").parquet(folder)
+    closing(tag_table, spec).repartition(BATCH_FILES).write.mode("append").parquet(folder)
+    arriving = file_stream(spark, folder, READING_SCHEMA, max_files_per_trigger=BATCH_FILES)
+    sink = keyed_grid(arriving, tag_table, spec).writeStream.format("parquet").option("path", out)
+    sink.option("checkpointLocation", scratch_path(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
+    sampled = spark.read.schema(OUTPUT_SCHEMA).parquet(out)
+    return _iso(sampled, "ts").select("site", "tag", "ts", "rval", "istat", "no_data")
+
+
+def q41_stream_grid_repair(spark, sf_dir):
+    """The stream in no order: most samples come after their instants were emitted, which are
+    repaired from the stored ones, first after two thirds of the stream and then at its end."""
+    readings = A.samples(spark, sf_dir)
+    sampler = GridStream(spark, A.tags(readings), _grid(readings), scratch_path(spark, "grid"))
+    seen = []
+
+    def on_batch(fresh: DataFrame, batch: int) -> None:
+        sampler.on_batch(fresh, batch)
+        seen.append(materialize(fresh))
+        if len(seen) == STREAM_BATCHES - 1:
+            stored = seen[0]
+            for more in seen[1:]:
+                stored = stored.unionByName(more)
+            sampler.repair(stored)
+
+    _run(A.readings_of(A.with_k(_event_stream(spark, sf_dir, shuffled=True))), on_batch, scratch_path(spark, "offsets"))
+    sampler.flush()
+    sampler.repair(readings)
+    return _iso(sampler.output(), "ts").select("site", "tag", "ts", "rval", "istat", "no_data")
+
+
 def q34_realtime_grid_events(spark, sf_dir):
     """The realtime job over files that arrive one by one: the same events as the historical one."""
     readings = A.samples(spark, sf_dir)

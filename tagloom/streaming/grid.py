@@ -9,8 +9,11 @@ once its tag has a sample at or after it, so values are the same as in one batch
 value from there on, and a tag without any has no data; so do all tags at :meth:`flush`.
 
 A sample at or before an instant that its tag has emitted already comes too late (or once more):
-it changes nothing here, is written to the ``late`` table, and is counted there. The raw table
-and the daily merge correct what it would have changed.
+it changes nothing that is emitted, and is written to the ``late`` table; later instants begin at it if
+it is the newest of its tag. :meth:`repair` corrects what was emitted: a late sample changes the
+instants between its neighbours and no others, so of all stretches between two samples those that
+begin or end at a late one are computed again from the stored samples, up to the last instant
+emitted, and replace what was emitted before.
 """
 
 from __future__ import annotations
@@ -23,10 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.operators.grid import GridSpec
-from tagloom.operators.value_at_time import FIELDS, KEYS, cell_summary, interpolated
+from tagloom.operators.enrich import enrich
+from tagloom.operators.value_at_time import FIELDS, KEYS, cell_summary, interpolated, neighbours, points_between
 from tagloom.schema import READING_SCHEMA
 from tagloom.session import drop_scratch
-from tagloom.sinks.current import read_or_empty
+from tagloom.sinks.current import names_in, read_or_empty
 
 OUTPUT_SCHEMA = T.StructType([
     *READING_SCHEMA.fields[:4],
@@ -83,6 +87,14 @@ class GridStream:
         emitted = F.when(F.col("done") >= 0, self._grid.instant_micros(F.col("done")))
         late = F.coalesce(at <= emitted, F.lit(False))
         known.where(late).select(*READING_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{self._path}/late/batch={batch}")
+        # A tag that was held may have had a sample meanwhile: what comes next begins there.
+        overdue = self._spark.read.schema(READING_SCHEMA).parquet(f"{self._path}/late/batch={batch}")
+        sample = {"t": F.unix_micros("ts"), "istat": F.col("istat").cast("bigint"), "v": F.col("rval")}
+        newest_late = overdue.groupBy(*KEYS).agg(*[F.max_by(c, "ts").alias(f"l_{f}") for f, c in sample.items()])
+        newer = F.coalesce(F.col("l_t") > F.coalesce("t", F.lit(-(1 << 62))), F.lit(False))
+        carried = carried.join(newest_late, KEYS, "left").withColumns(
+            {f: F.when(newer, F.col(f"l_{f}")).otherwise(F.col(f)) for f in FIELDS}
+        ).drop(*[f"l_{f}" for f in FIELDS])
 
         # First and last sample of every cell of a tag, after the one that is carried.
         fresh = cell_summary(known.where(~late), self._grid)
@@ -129,6 +141,8 @@ class GridStream:
             *[F.col(f).alias(f"last_{f}") for f in FIELDS], *[F.lit(None).cast(k).alias(f"n_{f}") for f, k in FIELDS.items()],
         )
         self._emit(rest, batch)
+        self._carried(before=batch).withColumn("done", F.lit(self._grid.points - 1).cast("bigint")).select(
+            *[f.name for f in _CARRY if f.name != "batch"]).write.mode("overwrite").parquet(f"{self._path}/carry/batch={batch}")
 
     def _emit(self, ahead: DataFrame, batch: int) -> None:
         """Instants after ``cell`` and ``done`` up to ``hi``. Overwritten by its own number only: a
@@ -145,8 +159,56 @@ class GridStream:
         if self._publish:
             self._publish(self._spark.read.schema(OUTPUT_SCHEMA).parquet(path))
 
+    def repair(self, samples: DataFrame, publish: Callable[[DataFrame], None] | None = None, **join_options) -> int:
+        """Correct the instants that samples have come too late for since the last repair, from ``samples``: all stored
+        ones, or (see ``operators.day_summary``) those of the days in question and the edges of others.
+
+        ``publish`` gets the corrected readings; give it a sink that updates, as the merge does. A
+        repair that dies is done again as a whole. Returns the number of late samples.
+        """
+        last = self._last_batch()
+        done = [int(n[5:]) for n in names_in(self._spark, f"{self._path}/repaired") if n.startswith("upto=")]
+        late = self.late().where((F.col("batch") > max(done, default=-1)) & (F.col("batch") <= last))
+        at = F.unix_micros("ts")
+        late = late.select(*KEYS, at.alias("t")).distinct()
+        path = f"{self._path}/repairing"
+        late.write.mode("overwrite").parquet(path)
+        late = self._spark.read.parquet(path)
+        n_late = late.count()
+        if not n_late:
+            return 0
+        tags = late.select(*KEYS).distinct()
+        good = samples.select(*READING_SCHEMA.fieldNames()).where(
+            (F.col("status") == 0) & F.col("ts").isNotNull() & (F.col("ts") < F.lit(self._grid.end))
+        )
+        usable = enrich(good, tags, KEYS, ["ts"], how="left_semi", **join_options)
+        gaps = neighbours(usable, tags, self._grid)
+        for side in ("p", "n"):
+            marks = late.withColumnsRenamed({"t": f"{side}_t"}).withColumn(f"{side}_late", F.lit(True))
+            gaps = enrich(gaps, marks, [*KEYS, f"{side}_t"], ["lo"], **join_options)
+        emitted = self._carried().select(*KEYS, "done")
+        open_ = gaps.where("p_late OR n_late").join(emitted, KEYS)
+        open_ = open_.withColumn("hi", F.least("hi", "done")).where("lo <= hi")
+        rows = points_between(open_, self._grid).select(*OUTPUT_SCHEMA.fieldNames())
+        place = f"{self._path}/repaired/upto={last}"
+        if publish:
+            rows.write.mode("overwrite").parquet(f"{path}-rows")
+            publish(self._spark.read.schema(OUTPUT_SCHEMA).parquet(f"{path}-rows"))
+            rows = self._spark.read.schema(OUTPUT_SCHEMA).parquet(f"{path}-rows")
+        rows.write.parquet(place)
+        drop_scratch(self._spark, path, f"{path}-rows")
+        return n_late
+
     def output(self) -> DataFrame:
-        return read_or_empty(self._spark, f"{self._path}/grid", OUTPUT_SCHEMA).select(*OUTPUT_SCHEMA.fieldNames())
+        """What was emitted, as repaired."""
+        names = OUTPUT_SCHEMA.fieldNames()
+        rows = read_or_empty(self._spark, f"{self._path}/grid", OUTPUT_SCHEMA).select(*names)
+        numbered = T.StructType([*OUTPUT_SCHEMA.fields, T.StructField("upto", T.LongType())])
+        repaired = read_or_empty(self._spark, f"{self._path}/repaired", numbered)
+        rest = [c for c in names if c not in (*KEYS, "ts")]
+        newest = repaired.groupBy(*KEYS, "ts").agg(F.max_by(F.struct(*rest), "upto").alias("r"))
+        newest = newest.select(*KEYS, "ts", *[F.col("r")[c].alias(c) for c in rest])
+        return rows.join(newest, [*KEYS, "ts"], "left_anti").select(*names).unionByName(newest.select(*names))
 
     def late(self) -> DataFrame:
         """Samples that came after their instant, by batch."""
