@@ -1,16 +1,23 @@
 """First and last good sample of each tag and day, so that a run of a few days need not scan all
-history for the neighbours of its edges."""
+history for the neighbours of its edges.
+
+The archive keeps it up by itself: every folder of rows that a put writes has its summary beside it,
+from the same switch on (see ``sinks.current``), and the summary of a day is that of its folders'
+summaries.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.functions import in_range, partition_date
 from tagloom.operators.grid import GridSpec
 from tagloom.schema import READING_SCHEMA
+from tagloom.sinks.current import read_summary
 
 KEYS = ["site", "server", "tag"]
 
@@ -30,6 +37,14 @@ def day_summary(readings: DataFrame) -> DataFrame:
     return rows.select("event_date", *KEYS, "s.ts", "s.rval", "s.istat", F.lit(0).cast("bigint").alias("status"))
 
 
+SUMMARY_SCHEMA = T.StructType([T.StructField("event_date", T.DateType()), *READING_SCHEMA.fields])
+
+
+def read_day_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The summary of the archive at ``path`` as it is now."""
+    return day_summary(read_summary(spark, path, SUMMARY_SCHEMA))
+
+
 def _day(at: datetime, up: bool) -> datetime:
     at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
     floor = at.replace(hour=0, minute=0, second=0, microsecond=0)

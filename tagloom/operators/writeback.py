@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions import normalise_tag, parse_timestamp, partition_date, python_strip
+from tagloom.operators.day_summary import day_summary
 from tagloom.operators.enrich import enrich
 from tagloom.operators.latest import latest_per_key
 from tagloom.operators.resolve import valid_points
@@ -129,10 +130,11 @@ def _merged_archive(stored: DataFrame, fresh: DataFrame) -> DataFrame:
 def put_archive(spark: SparkSession, path: str, requests: DataFrame, max_records_per_file: int = 0) -> dict[str, int]:
     """Upsert accepted requests into the raw-reading table; returns rows per action. Repeating a
     put changes nothing, and one that dies leaves the table as it was. Partitions with a changed
-    row are rewritten; where rows are only new, they are added."""
+    row are rewritten; where rows are only new, they are added. The day summary follows by the same
+    switch (see ``operators.day_summary``)."""
     fresh_path = scratch_path(spark, "put")
     archive_rows(requests).withColumn("event_date", partition_date("ts")).write.parquet(fresh_path)
     fresh = spark.read.parquet(fresh_path)
-    counts = merge_into(spark, path, ARCHIVE_SCHEMA, fresh, _merged_archive, max_records_per_file)
+    counts = merge_into(spark, path, ARCHIVE_SCHEMA, fresh, _merged_archive, max_records_per_file, day_summary)
     drop_scratch(spark, fresh_path)
     return counts

@@ -18,6 +18,7 @@ from tagloom.operators.writeback import parse_requests, put_archive, resolve_req
 from tagloom.options import ReadOptions, effective_read_options
 from tagloom.session import drop_scratch, scratch_path
 from tagloom.sinks import choose_sink
+from tagloom.sinks.ledger import Ledger
 from tagloom.sinks.registry import with_retry
 from tagloom.sources.sites import select_sites
 from tagloom.streaming import GridStream, event_batches, request_batches, start
@@ -103,6 +104,7 @@ def run_realtime(
     read: ReadOptions | None = None,
     once: bool = False,
     hold: bool = True,
+    ledger_path: str | None = None,
     **sink_options,
 ) -> tuple[StreamingQuery, GridStream]:
     """The value of every tag at every grid instant of a live stream, as events into a realtime
@@ -110,7 +112,8 @@ def run_realtime(
 
     A tag that is silent for longer than the window holds its last value; one that was never
     seen has no data, and one without a point the quality that says so. ``hold=False`` waits for
-    every tag instead. Call ``flush`` on the returned grid when the range is over.
+    every tag instead. Call ``flush`` on the returned grid when the range is over. ``ledger_path``: where
+    deliveries are recorded, for sinks that cannot tell a repeated event (see ``sinks.ledger``).
     """
     options = effective_read_options(read, None)
     publish = with_retry(
@@ -121,8 +124,16 @@ def run_realtime(
     chosen = select_sites(load_sites(), wanted_sites)
     wanted = tags.join(chosen.select("site", "server"), "site").select("site", "server", "tag").distinct()
 
-    def deliver(sampled: DataFrame) -> None:
-        publish(stored_events(sampled, select_sites(load_sites(), wanted_sites), load_points(), load_states()))
+    ledger = Ledger(spark, ledger_path, "grid") if ledger_path else None
+
+    def deliver(sampled: DataFrame, batch: int) -> None:
+        def made() -> DataFrame:
+            return stored_events(sampled, select_sites(load_sites(), wanted_sites), load_points(), load_states())
+
+        if ledger:
+            ledger.deliver(made, batch, publish)
+        else:
+            publish(made())
 
     after = timedelta(seconds=options.window_seconds) if hold else None
     sampler = GridStream(spark, wanted, grid, state_path, after, deliver)
@@ -139,14 +150,16 @@ def run_realtime_raw(
     wanted_sites: str | None = None,
     read: ReadOptions | None = None,
     once: bool = False,
+    ledger_path: str | None = None,
     **sink_options,
 ) -> StreamingQuery:
-    """Every raw reading of a stream as an event, without a grid."""
+    """Every raw reading of a stream as an event, without a grid; ``ledger_path`` as above."""
     options = effective_read_options(read, None)
     publish = with_retry(
         choose_sink("realtime", sink, **sink_options), options.publish_retries, options.retry_sleep_seconds
     )
-    on_batch = event_batches(load_points, load_states, lambda: select_sites(load_sites(), wanted_sites), publish)
+    ledger = Ledger(stream.sparkSession, ledger_path, "raw") if ledger_path else None
+    on_batch = event_batches(load_points, load_states, lambda: select_sites(load_sites(), wanted_sites), publish, ledger)
     return start(stream, on_batch, checkpoint, None if once else options.interval_seconds)
 
 

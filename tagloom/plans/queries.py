@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom import functions as fn
 from tagloom.operators import chunks, dimensions, grid, latest, merge, reports, resolve, writeback
 from tagloom.operators.canonical import published_form
+from tagloom.operators.day_summary import read_day_summary
 from tagloom.operators.enrich import enrich
 from tagloom.operators.value_at_time import value_at_time
 from tagloom.plans import adapters as A
@@ -20,6 +21,7 @@ from tagloom.session import materialize, scratch_path
 from tagloom.sinks import messages as msg
 from tagloom.sinks import tables
 from tagloom.sinks.inserts import insert_new
+from tagloom.sinks.ledger import Ledger
 from tagloom.sources import dimensions as dims
 from tagloom.sources import events as event_source
 from tagloom.sources import readings as reading_source
@@ -426,6 +428,42 @@ def q28_stream_requests(spark, sf_dir):
         refused.select(F.lit("dead").alias("place"), F.col("reason").alias("what"), "n"))
 
 
+def q43_day_summary_upkeep(spark, sf_dir):
+    """Two thirds of the requests put, then all of them: the archive's own summary of days."""
+    requests = _requests(spark, sf_dir)
+    path = scratch_path(spark, "archive-table")
+    writeback.put_archive(spark, path, requests.where(F.pmod(F.col("message_id"), F.lit(3)) > 0))
+    writeback.put_archive(spark, path, requests)
+    return _iso(read_day_summary(spark, path), "ts").select(
+        F.col("event_date").cast("string"), "site", "server", "tag", "ts", "rval", "istat")
+
+
+def q44_delivery_ledger(spark, sf_dir):
+    """Events of a stream as lines. The sink fails within the second batch, which is run again, and
+    the third is run twice: every line is there once."""
+    path, ledger = scratch_path(spark, "lines"), Ledger(spark, scratch_path(spark, "ledger"), "lines")
+    calls = []
+
+    def sink(events: DataFrame) -> None:
+        calls.append(1)
+        if len(calls) == 6:
+            raise ConnectionError("the sink is away")
+        tables.append_jsonl(events, path)
+
+    deliver = event_batches(*_loaders(spark, sf_dir), sink, ledger)
+
+    def on_batch(readings: DataFrame, batch: int) -> None:
+        try:
+            deliver(readings, batch)
+        except ConnectionError:
+            deliver(readings, batch)
+        if batch == 2:
+            deliver(readings, batch)
+
+    _run(A.readings_of(A.with_k(_event_stream(spark, sf_dir))), on_batch, scratch_path(spark, "offsets"))
+    return published_form(event_source.read_event_jsonl(spark, path))
+
+
 def q29_jsonl_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "lines")
     tables.append_jsonl(_canonical(spark, sf_dir), path)

@@ -30,6 +30,9 @@ PARTITION = ["event_date", "site"]
 KEEP, INSERT, UPDATE = "keep", "insert", "update"
 #: The folder of rows that a plain writer left.
 PLAIN = ""
+#: Where the summaries of the rows' folders lie.
+SUMMARY = "_summary"
+Summarise = Callable[[DataFrame], DataFrame]
 #: So many older pointers and listings are kept for readers that began earlier.
 KEPT_POINTERS = 10
 
@@ -145,10 +148,13 @@ def put_pointer(spark: SparkSession, aside, place: str) -> None:
 
 
 def replace_partitions(
-    rows: DataFrame, path: str, at: Current, replaced: DataFrame | None = None, max_records_per_file: int = 0
+    rows: DataFrame, path: str, at: Current, replaced: DataFrame | None = None, max_records_per_file: int = 0,
+    summarise: Summarise | None = None,
 ) -> None:
     """Write ``rows`` and switch to them. ``replaced(event_date, site)``: the partitions that they
-    replace, all they hold if None; to others they are added."""
+    replace, all they hold if None; to others they are added. ``summarise(rows)``, with the
+    partition columns, is stored beside the rows and counts from the same switch on (see
+    :func:`read_summary`)."""
     from tagloom.sinks.tables import clustered
 
     spark, path, folder = rows.sparkSession, path.rstrip("/"), uuid.uuid4().hex
@@ -158,6 +164,9 @@ def replace_partitions(
         clustered(rows).write.option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITION).parquet(place)
     )
+    if summarise:
+        stored = spark.read.schema(rows.schema).parquet(place)
+        summarise(stored).write.partitionBy(*PARTITION).parquet(f"{path}/{SUMMARY}/folder={folder}")
     written = read_or_empty(spark, place, PAIR).distinct()
     left = _matching(before, written if replaced is None else replaced, PARTITION, "left_anti")
     switch(spark, path, at, left.unionByName(written.withColumn("folder", F.lit(folder))))
@@ -176,6 +185,7 @@ def merge_into(
     staged: DataFrame,
     merged: Callable[[DataFrame, DataFrame], DataFrame],
     max_records_per_file: int = 0,
+    summarise: Summarise | None = None,
 ) -> dict[str, int]:
     """Merge ``staged``, stored rows with non-null partition columns, and return rows per action.
 
@@ -198,21 +208,33 @@ def merge_into(
         ).where("touched").drop("touched")
         due = [df.join(flags.select(*PARTITION), PARTITION, "left_semi") for df in (table, staged)]
         rows = merged(*due).join(flags, PARTITION).where(F.col("rewrite") | (F.col("action") == INSERT))
-        replace_partitions(rows.select(*schema.fieldNames()), path, at, flags.where("rewrite"), max_records_per_file)
+        rows = rows.select(*schema.fieldNames())
+        replace_partitions(rows, path, at, flags.where("rewrite"), max_records_per_file, summarise)
     drop_scratch(spark, tally_path)
     return counts
 
 
-def rewrite_days(spark: SparkSession, path: str, schema: T.StructType, before: date) -> int:
+def read_summary(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The summaries of the folders that the table holds now, with the columns of ``schema``: several of
+    a partition after inserts."""
+    at = current(spark, path)
+    numbered = T.StructType([*schema.fields, T.StructField("folder", T.StringType())])
+    rows = read_or_empty(spark, f"{path.rstrip('/')}/{SUMMARY}", numbered)
+    return _matching(rows, listed(spark, path, at), [*PARTITION, "folder"]).select(*schema.fieldNames())
+
+
+def rewrite_days(
+    spark: SparkSession, path: str, schema: T.StructType, before: date, summarise: Summarise | None = None
+) -> int:
     """Write the partitions of closed days that lie in several folders anew, as one; returns how
-    many there were."""
+    many there were. A table with summaries needs its ``summarise`` here too."""
     at = current(spark, path)
     many = listed(spark, path, at).where(F.col("event_date") < F.lit(before)).groupBy(*PARTITION).agg(
         F.count(F.lit(1)).alias("n")).where("n > 1")
     found = many.count()
     if found:
         rows = _matching(read_current(spark, path, schema, at), many, PARTITION)
-        replace_partitions(rows, path, at)
+        replace_partitions(rows, path, at, summarise=summarise)
     return found
 
 
@@ -225,7 +247,7 @@ def drop_unlisted(spark: SparkSession, path: str) -> list[str]:
         return []
     used = {r["folder"] for r in at.listing.select("folder").distinct().toLocalIterator()}
     gone = [n for n in names_in(spark, f"{path}/_rows") if n.startswith("folder=") and n[7:] not in used]
-    drop_scratch(spark, *[f"{path}/_rows/{name}" for name in gone])
+    drop_scratch(spark, *[f"{path}/{kind}/{name}" for kind in ("_rows", SUMMARY) for name in gone])
     name = at.listing.inputFiles()[0].rsplit("/", 2)[1] if not at.listing.isEmpty() else None
     drop_scratch(spark, *[f"{path}/_listed/{n}" for n in names_in(spark, f"{path}/_listed") if name and n != name])
     for old in names_in(spark, f"{path}/_current"):
@@ -243,7 +265,8 @@ def drop_days(spark: SparkSession, path: str, oldest: date) -> list[str]:
         if not at.listing.where(old).isEmpty():
             switch(spark, path, at, at.listing.where(~F.coalesce(old, F.lit(False))))
     dropped = set()
-    for place in [path, *(f"{path}/_rows/{name}" for name in names_in(spark, f"{path}/_rows"))]:
+    kept = [f"{path}/{kind}/{name}" for kind in ("_rows", SUMMARY) for name in names_in(spark, f"{path}/{kind}")]
+    for place in [path, *kept]:
         for name in names_in(spark, place):
             if name.startswith("event_date=") and name[11:] < oldest.isoformat():
                 drop_scratch(spark, f"{place}/{name}")

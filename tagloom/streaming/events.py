@@ -1,7 +1,8 @@
 """Readings to events, as a stream.
 
 Offsets and progress live in the checkpoint: after a failure the same micro-batch runs
-again, and sinks that ignore stored event ids make the outcome the same as one run.
+again, and sinks that ignore stored event ids make the outcome the same as one run. Sinks that
+cannot tell a repeated row get a ledger (see ``sinks.ledger``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from tagloom.operators.canonical import attach_site, canonical_events
 from tagloom.operators.resolve import resolve_and_classify
+from tagloom.sinks.ledger import Ledger
 
 
 def file_stream(
@@ -74,14 +76,21 @@ def event_batches(
     load_states: Callable[[], DataFrame],
     load_sites: Callable[[], DataFrame],
     sink: Callable[[DataFrame], None],
+    ledger: Ledger | None = None,
     **join_options,
 ) -> Callable[[DataFrame, int], None]:
     """Batch function turning readings into events. Dimensions are loaded anew for every
-    batch, so a point or state added meanwhile is seen. All sites share one query."""
-
-    def on_batch(readings: DataFrame, _batch: int) -> None:
-        at_site = attach_site(readings, load_sites(), **join_options)
-        classified = resolve_and_classify(at_site, load_points(), load_states(), **join_options)
-        sink(canonical_events(classified))
+    batch, so a point or state added meanwhile is seen; with a ``ledger``, a batch that is run again
+    delivers what it made the first time, and nothing that is on record. All sites share one query."""
+
+    def on_batch(readings: DataFrame, batch: int) -> None:
+        def made() -> DataFrame:
+            at_site = attach_site(readings, load_sites(), **join_options)
+            return canonical_events(resolve_and_classify(at_site, load_points(), load_states(), **join_options))
+
+        if ledger:
+            ledger.deliver(made, batch, sink)
+        else:
+            sink(made())
 
     return on_batch

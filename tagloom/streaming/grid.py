@@ -53,12 +53,12 @@ _CARRY = T.StructType([
 class GridStream:
     """``start(stream, grid_stream.on_batch, ...)``, then :meth:`flush` when the range is over.
 
-    ``publish``, if given, gets the readings of every batch as they are read back.
+    ``publish``, if given, gets the readings of every batch as they are read back, and its number.
     """
 
     def __init__(
         self, spark: SparkSession, tags: DataFrame, grid: GridSpec, path: str, hold_after: timedelta | None = None,
-        publish: Callable[[DataFrame], None] | None = None,
+        publish: Callable[[DataFrame, int], None] | None = None,
     ):
         self._spark, self._tags, self._grid = spark, tags.select(*KEYS), grid
         self._path, self._hold_after, self._publish = path.rstrip("/"), hold_after, publish
@@ -157,7 +157,7 @@ class GridStream:
         path = f"{self._path}/grid/batch={batch}"
         rows.select(*OUTPUT_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path)
         if self._publish:
-            self._publish(self._spark.read.schema(OUTPUT_SCHEMA).parquet(path))
+            self._publish(self._spark.read.schema(OUTPUT_SCHEMA).parquet(path), batch)
 
     def repair(self, samples: DataFrame, publish: Callable[[DataFrame], None] | None = None, **join_options) -> int:
         """Correct the instants that samples have come too late for since the last repair, from ``samples``: all stored
