@@ -10,7 +10,7 @@ merged nor dropped without a word.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,10 +138,11 @@ def reconcile(
     An interrupted run changes nothing that can be read; running it again merges the same rows.
     """
     staged_path = scratch_path(spark, "staged")
-    checked = with_reason(staging)
+    bad = Observation("rejected")
+    checked = with_reason(staging).observe(bad, F.count("reason").alias("n"))
     good = unique_staging(checked.where("reason IS NULL"), on_conflict, newest_by)
     good.withColumn("event_date", partition_date("timestamp")).write.parquet(staged_path)
-    rejected = set_aside(spark, path, checked)
+    rejected = set_aside(spark, path, with_reason(staging)) if bad.get["n"] else 0
     staged = spark.read.parquet(staged_path)
     counts = merge_into(
         spark, path, TABLE_SCHEMA, staged, lambda t, s: merge_rows(t, s.select(*EVENT_COLUMNS), compare), max_records_per_file

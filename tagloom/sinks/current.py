@@ -33,6 +33,8 @@ PLAIN = ""
 #: Where the summaries of the rows' folders lie.
 SUMMARY = "_summary"
 Summarise = Callable[[DataFrame], DataFrame]
+#: Rows of a file that a rewrite of days aims at.
+ROWS_PER_FILE = 2_000_000
 #: So many older pointers and listings are kept for readers that began earlier.
 KEPT_POINTERS = 10
 
@@ -149,19 +151,20 @@ def put_pointer(spark: SparkSession, aside, place: str) -> None:
 
 def replace_partitions(
     rows: DataFrame, path: str, at: Current, replaced: DataFrame | None = None, max_records_per_file: int = 0,
-    summarise: Summarise | None = None,
+    summarise: Summarise | None = None, rows_per_file: int | None = None,
 ) -> None:
     """Write ``rows`` and switch to them. ``replaced(event_date, site)``: the partitions that they
     replace, all they hold if None; to others they are added. ``summarise(rows)``, with the
     partition columns, is stored beside the rows and counts from the same switch on (see
     :func:`read_summary`)."""
-    from tagloom.sinks.tables import clustered
+    from tagloom.sinks.tables import clustered, clustered_by_range
 
     spark, path, folder = rows.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    arranged = clustered_by_range(rows, rows_per_file) if rows_per_file else clustered(rows)
     place = f"{path}/_rows/folder={folder}"
     before = listed(spark, path, at)
     (
-        clustered(rows).write.option("maxRecordsPerFile", max_records_per_file)
+        arranged.write.option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITION).parquet(place)
     )
     if summarise:
@@ -224,17 +227,18 @@ def read_summary(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def rewrite_days(
-    spark: SparkSession, path: str, schema: T.StructType, before: date, summarise: Summarise | None = None
+    spark: SparkSession, path: str, schema: T.StructType, before: date, summarise: Summarise | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> int:
-    """Write the partitions of closed days that lie in several folders anew, as one; returns how
-    many there were. A table with summaries needs its ``summarise`` here too."""
+    """Write the partitions of closed days that lie in several folders anew, as one, in files by
+    range of tag and time; returns how many there were. A table with summaries needs its ``summarise`` here too."""
     at = current(spark, path)
     many = listed(spark, path, at).where(F.col("event_date") < F.lit(before)).groupBy(*PARTITION).agg(
         F.count(F.lit(1)).alias("n")).where("n > 1")
     found = many.count()
     if found:
         rows = _matching(read_current(spark, path, schema, at), many, PARTITION)
-        replace_partitions(rows, path, at, summarise=summarise)
+        replace_partitions(rows, path, at, summarise=summarise, rows_per_file=rows_per_file)
     return found
 
 

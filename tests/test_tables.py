@@ -352,6 +352,27 @@ def test_hot_partition_is_split_over_tasks(spark, tmp_path):
     assert sum(r["count"] for r in written) == 60_000
 
 
+def test_rewritten_days_are_clustered_by_tag(spark, tmp_path):
+    """One (day, site) with most of the rows: a tag lies in few of its files, by their statistics."""
+    path = str(tmp_path / "t")
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 10 == 0, "s2").otherwise("s1").alias("site"), F.format_string("T%02d", F.pmod(F.xxhash64("id"), F.lit(40))).alias("tag"),
+        F.timestamp_seconds(F.lit(1_767_225_600) + F.col("id")).alias("timestamp"), F.col("id").cast("string").alias("value"))
+    given = {f.name for f in rows.schema}
+    rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA if f.name not in given])
+    rows = rows.withColumn("event_id", event_id("site", "tag", "timestamp"))
+    for half in range(2):
+        insert_new(spark, path, rows.where(F.col("value").cast("int") % 2 == half))
+    whole = stored(spark, path)
+    assert current.rewrite_days(spark, path, merge.TABLE_SCHEMA, date(2026, 1, 2), rows_per_file=2_500) == 1
+    assert stored(spark, path) == whole
+    files = current.read_current(spark, path, merge.TABLE_SCHEMA, files=True).where("site = 's1'").groupBy("file").agg(
+        F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(files) >= 9 and max(r.n for r in files) < 5_000
+    for k in range(40):
+        assert sum(r.lo <= f"T{k:02d}" <= r.hi for r in files) <= 2
+
+
 def test_retention(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite_partitions(events(spark, [("s", "A", f"2026-01-{d:02d}", "1") for d in range(1, 11)]), path)
