@@ -55,7 +55,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     path = scratch_path(spark, "kept")
     kept.write.parquet(path)
     kept = spark.read.parquet(path)
-    left = shielded.where("doc_id IS NULL").unionByName(shielded.join(kept.where("count = 1"), "doc_id", "left_semi"))
+    # Most ids are kept, so their list is no size to broadcast: joined alike whatever the size.
+    once = kept.where("count = 1").hint("merge")
+    left = shielded.where("doc_id IS NULL").unionByName(shielded.join(once, "doc_id", "left_semi"))
     if not kept.where("count > 1").isEmpty():
         row = F.struct(*[c for c in shielded.columns if c != "doc_id"])
         order = F.struct(F.md5("text"), F.to_json(row))
