@@ -34,7 +34,7 @@ def dense_position(df: DataFrame, group: str, order: str, partitions: int | None
 def chunk_ids(df: DataFrame, group: str, order: str, size: int, partitions: int | None = None) -> DataFrame:
     """Add ``chunk_id`` from 0; every chunk but the last of a group has ``size`` rows."""
     if size <= 0:
-        raise ValueError("size must be greater than zero")
+        raise ValueError("a chunk needs at least one row")
     placed = dense_position(df, group, order, partitions)
     chunk = F.call_function("div", F.col("position") - 1, F.lit(size))
     return placed.withColumn("chunk_id", chunk.cast("bigint")).drop("position")

@@ -97,10 +97,10 @@ def choose_sink(mode: str, name: str, **options) -> Callable[[DataFrame], None]:
     """The sink ``name`` bound to its options, or an error if ``mode`` cannot use it."""
     allowed = {"historical": HISTORICAL, "realtime": REALTIME}.get(mode)
     if allowed is None:
-        raise ValueError(f"unsupported mode: {mode}")
+        raise ValueError(f"no such mode: {mode} (historical or realtime)")
     chosen = name.lower()
     if chosen not in allowed:
-        raise ValueError(f"{mode} mode supports: {', '.join(allowed)}; not {chosen}")
+        raise ValueError(f"a {mode} job delivers to one of {', '.join(allowed)}, not to {chosen}")
     missing = [o for o in _REQUIRED[chosen] if not options.get(o)]
     if missing:
         raise ValueError(f"sink {chosen} is not configured: {', '.join(missing)}")
