@@ -157,12 +157,19 @@ def replace_partitions(
     replace, all they hold if None; to others they are added. ``summarise(rows)``, with the
     partition columns, is stored beside the rows and counts from the same switch on (see
     :func:`read_summary`)."""
+    folder = write_folder(rows, path, max_records_per_file, summarise, rows_per_file)
+    list_folder(rows.sparkSession, path, at, folder, replaced)
+
+
+def write_folder(
+    rows: DataFrame, path: str, max_records_per_file: int = 0, summarise: Summarise | None = None, rows_per_file: int | None = None
+) -> str:
+    """Write ``rows`` to a folder of the table that nobody reads yet; returns its name."""
     from tagloom.sinks.tables import clustered, clustered_by_range
 
     spark, path, folder = rows.sparkSession, path.rstrip("/"), uuid.uuid4().hex
     arranged = clustered_by_range(rows, rows_per_file) if rows_per_file else clustered(rows)
     place = f"{path}/_rows/folder={folder}"
-    before = listed(spark, path, at)
     (
         arranged.write.option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITION).parquet(place)
@@ -170,15 +177,26 @@ def replace_partitions(
     if summarise:
         stored = spark.read.schema(rows.schema).parquet(place)
         summarise(stored).write.partitionBy(*PARTITION).parquet(f"{path}/{SUMMARY}/folder={folder}")
-    written = read_or_empty(spark, place, PAIR).distinct()
-    left = _matching(before, written if replaced is None else replaced, PARTITION, "left_anti")
+    return folder
+
+
+def list_folder(spark: SparkSession, path: str, at: Current, folder: str, replaced: DataFrame | None) -> None:
+    """Switch to the table with that folder, for ``replaced`` partitions (all that it holds if None) in place of others."""
+    written = read_or_empty(spark, f"{path.rstrip('/')}/_rows/folder={folder}", PAIR).distinct()
+    left = _matching(listed(spark, path, at), written if replaced is None else replaced, PARTITION, "left_anti")
     switch(spark, path, at, left.unionByName(written.withColumn("folder", F.lit(folder))))
 
 
-def add_rows(rows: DataFrame, path: str, at: Current, max_records_per_file: int = 0) -> None:
-    """Write ``rows`` beside those stored."""
-    nothing = rows.sparkSession.createDataFrame([], PAIR)
-    replace_partitions(rows, path, at, nothing, max_records_per_file)
+def add_rows(rows: DataFrame, path: str, at: Current) -> int:
+    """Write ``rows`` beside those stored; returns their number. None change nothing."""
+    spark, folder = rows.sparkSession, write_folder(rows, path)
+    place = f"{path.rstrip('/')}/_rows/folder={folder}"
+    added = read_or_empty(spark, place, PAIR).count()
+    if added:
+        list_folder(spark, path, at, folder, spark.createDataFrame([], PAIR))
+    else:
+        drop_scratch(spark, place)
+    return added
 
 
 def merge_into(

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.functions import partition_date
 from tagloom.operators.merge import REJECT, TABLE_SCHEMA, set_aside, with_reason
@@ -24,21 +23,14 @@ def insert_new(spark: SparkSession, path: str, events: DataFrame) -> dict[str, i
     is over, and drop repeats in the stream by watermark first.
     """
     batch_path = scratch_path(spark, "batch")
-    bad = Observation("rejected")
-    checked = with_reason(events).observe(bad, F.count("reason").alias("n"))
-    checked.withColumn("event_date", partition_date("timestamp")).write.parquet(batch_path)
+    with_reason(events).withColumn("event_date", partition_date("timestamp")).write.parquet(batch_path)
     batch = spark.read.parquet(batch_path)
-    rejected = set_aside(spark, path, batch) if bad.get["n"] else 0
+    rejected = set_aside(spark, path, batch)
     good = batch.where("reason IS NULL").dropDuplicates(["event_id"])
     at = current(spark, path)
     pairs = good.select("event_date", "site").distinct()
     stored = read_current(spark, path, TABLE_SCHEMA, at).join(pairs, ["event_date", "site"], "left_semi")
     fresh = good.join(stored.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti")
-    fresh_path = scratch_path(spark, "fresh")
-    seen = Observation("inserted")
-    fresh.observe(seen, F.count(F.lit(1)).alias("n")).drop("reason").write.parquet(fresh_path)
-    inserted = seen.get["n"]
-    if inserted:
-        add_rows(with_ingestion_time(spark.read.parquet(fresh_path)).select(*TABLE_COLUMNS), path, at)
-    drop_scratch(spark, batch_path, fresh_path)
+    inserted = add_rows(with_ingestion_time(fresh).select(*TABLE_COLUMNS), path, at)
+    drop_scratch(spark, batch_path)
     return {INSERT: inserted, **({REJECT: rejected} if rejected else {})}
