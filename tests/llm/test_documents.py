@@ -228,6 +228,79 @@ def test_op7_held_out_accuracy(spark):
     assert np.mean([r["lang_pred"] == langs[r["doc_id"]] for r in held]) > 0.99
 
 
+def plain_words(text):
+    """Places of the trigrams of every word, by whole numbers."""
+    out, word = [], []
+    for b in [*text.encode(), 0]:
+        code = b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0
+        if code:
+            word.append(code)
+        elif word:
+            edged = [0, *word, 0]
+            out.append([(((x * 65599 + y) * 65599 + z) * 0x9E3779B1 % 2**32) >> 17 for x, y, z in zip(edged, edged[1:], edged[2:])])
+            word = []
+    return out
+
+
+def plain_mixture(text, table, names):
+    """Language and share by EM over the words, one set of languages after the other."""
+    from math import exp, log
+
+    words = plain_words(text)
+    logs = [[sum(table[n][p] for p in w) for n in names] for w in words]
+    like = [[exp(max(x - max(row), -60)) for x in row] for row in logs]
+
+    def em(allowed):
+        share = [1 / len(allowed) if k in allowed else 0.0 for k in range(len(names))]
+        for _ in range(8):
+            parts = [[a * b for a, b in zip(row, share)] for row in like]
+            parts = [[x / max(sum(row), 1e-30) for x in row] for row in parts]
+            share = [sum(row[k] for row in parts) / len(parts) for k in range(len(names))]
+        return share, sum(log(max(sum(a * b for a, b in zip(row, share)), 1e-30)) for row in like)
+
+    full, _ = em(range(len(names)))
+    order = sorted(range(len(names)), key=lambda k: -full[k])
+    base = sum(max(row) for row in logs)
+    single = [sum(row[k] for row in logs) - base for k in range(len(names))]
+    first = max(range(len(names)), key=lambda k: single[k])
+    best, share = single[first], [float(k == first) for k in range(len(names))]
+    for size in range(2, len(names) + 1):
+        own, total = em(order[:size])
+        gained = total - 4 * log(len(words) + 1) * (size - 1)
+        if gained > best:
+            best, share = gained, own
+    top = max(range(len(names)), key=lambda k: (share[k], -k))
+    return names[top], share[top]
+
+
+def test_op7_equals_a_plain_em(spark):
+    from math import log
+
+    rows = [(r["text"], r["lang"]) for r in documents(spark, SF) if len(r["text"]) < 3000]
+    counts = defaultdict(lambda: [0.1] * (1 << 15))
+    for text, lang in rows:
+        for w in plain_words(text):
+            for p in w:
+                counts[lang][p] += 1
+    names = sorted(counts)
+    table = {}
+    for n in names:
+        whole = sum(counts[n])
+        table[n] = [log(x / whole) for x in counts[n]]
+    of = defaultdict(list)
+    for text, lang in rows:
+        of[lang] += text.split()
+    rng = random.Random(7)
+    piece = lambda lang, n: " ".join(rng.choices(of[lang], k=n))
+    texts = [t for t, _ in rows[:25]] + [piece(a, rng.randrange(5, 80)) + " " + piece(b, rng.randrange(5, 80)) for a in names for b in names]
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"))
+    got = language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).collect()
+    for r in got:
+        name, share = plain_mixture(texts[r["doc_id"]], table, names)
+        assert r["lang_pred"] == name and r["score"] == pytest.approx(share, abs=2e-3)
+    assert any(r["score"] < 0.9 for r in got)
+
+
 def test_op7_odd_documents(spark, odd_documents):  # noqa: F811
     rows = QUERIES["op7_language_mixture"](spark, odd_documents[0]).collect()
     texts = {r["doc_id"]: r["text"] for r in documents(spark, odd_documents[0])}
