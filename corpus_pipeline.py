@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import language, neardup, pseudonyms
 from tagloom.llm.queries import PSEUDONYM_KEY, fertile, pack_documents
-from tagloom.session import scratch_path
+from tagloom.session import drop_scratch, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -91,9 +91,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        drop_scratch(spark, *before)  # what the stage before returned has been read
+        before = [path]
     return docs
