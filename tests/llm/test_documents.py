@@ -168,7 +168,8 @@ def plain_kept(figures, lang_of):
             cells[lang_of[r["doc_id"]] or r["script"], floor(log2(max(r["n_tokens"], 1)))].append(r)
 
     def quartiles(own, c):
-        return [sorted(r[c] for r in own)[max(0, -(-len(own) * k // 4) - 1)] for k in (1, 2, 3)]
+        cut = [floor(min(r[c], 16.0) / 1e-4) * 1e-4 for r in own]
+        return [float(np.quantile(cut, k / 4)) for k in (1, 2, 3)]
 
     out = {}
     for r in figures:
