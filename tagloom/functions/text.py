@@ -79,8 +79,7 @@ def _shortest_text(v: Column) -> Column:
         F.when(F.isnan(v), F.lit("nan"))
         .when(v == float("inf"), F.lit("inf"))
         .when(v == float("-inf"), F.lit("-inf"))
-        .when(v < 0, F.concat(F.lit("-"), laid_out))
-        .otherwise(laid_out)
+        .otherwise(F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")), laid_out))
     )
 
 
