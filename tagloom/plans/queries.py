@@ -42,6 +42,9 @@ TICK_SECONDS = 60
 REALTIME_WINDOW_SECONDS = 86_400
 CHUNK_SIZE = 7
 KEEP_DAYS = 7
+#: Two readings of a tag at one instant have one event id. A merge stores one of them: a good value
+#: before a state, a state before a failure (as their texts sort), then the larger value text.
+MERGE_ORDER = ["quality", "value"]
 
 
 def _iso(df: DataFrame, *names: str) -> DataFrame:
@@ -57,6 +60,10 @@ def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events_of(A.samples(spark, sf_dir))
 
 
+def _reconcile(spark: SparkSession, path: str, staged: DataFrame, compare: str = "value") -> None:
+    merge.reconcile(spark, path, staged, compare=compare, on_conflict="latest", newest_by=MERGE_ORDER)
+
+
 def _classified(readings: DataFrame) -> DataFrame:
     tag_table, state_table = A.tags_and_states(readings)
     return resolve.resolve_and_classify(readings, A.points(tag_table), state_table)
@@ -221,7 +228,7 @@ def _merged(spark, sf_dir, compare: str) -> DataFrame:
     path = scratch_path(spark, "table")
     first = tables.with_ingestion_time(made(readings.unionByName(retired)))
     tables.overwrite_partitions(first, path)
-    merge.reconcile(spark, path, made(corrected.unionByName(later)), compare=compare)
+    _reconcile(spark, path, made(corrected.unionByName(later)), compare)
     return _iso(merge.read_table(spark, path), "timestamp").select(*EVENT_COLUMNS)
 
 
@@ -598,7 +605,7 @@ def q35_rejected_events(spark, sf_dir):
         path = scratch_path(spark, how)
         for _ in range(2):
             if how == "merge":
-                merge.reconcile(spark, path, rows)
+                _reconcile(spark, path, rows)
             else:
                 insert_new(spark, path, rows)
         stored = merge.read_table(spark, path).select("site", F.lit("STORED").alias("reason"))
@@ -656,8 +663,8 @@ def q39_retention_after_merge(spark, sf_dir):
     """Days merged, corrected by a second merge and then aged: what is left, and in which folders."""
     rows = materialize(_canonical(spark, sf_dir))
     path = scratch_path(spark, "merged-days")
-    merge.reconcile(spark, path, rows)
-    merge.reconcile(spark, path, _corrected(rows))
+    _reconcile(spark, path, rows)
+    _reconcile(spark, path, _corrected(rows))
     newest = merge.read_table(spark, path).agg(F.max("event_date")).first()[0]
     tables.drop_expired(spark, path, newest, KEEP_DAYS)
     kept = merge.read_table(spark, path).groupBy("event_date", "site").agg(
@@ -671,8 +678,8 @@ def q40_overwrite_after_merge(spark, sf_dir):
     replaced whole, the corrections of others stay."""
     rows = materialize(_canonical(spark, sf_dir))
     path = scratch_path(spark, "merged-days")
-    merge.reconcile(spark, path, rows)
-    merge.reconcile(spark, path, _corrected(rows))
+    _reconcile(spark, path, rows)
+    _reconcile(spark, path, _corrected(rows))
     rerun = rows.where((F.col("tag") == "ERROR") & (F.col("quality") == "DIGITAL_STATE"))
     tables.overwrite_partitions(tables.with_ingestion_time(rerun), path)
     kept = _iso(merge.read_table(spark, path), "timestamp")
