@@ -8,7 +8,8 @@ once its tag has a sample at or after it, so values are the same as in one batch
 ``hold_after``, a tag whose samples end that much before the newest of all tags holds its last
 value from there on, and a tag without any has no data; so do all tags at :meth:`flush`.
 
-A sample at or before an instant that its tag has emitted already comes too late (or once more):
+A sample at or before an instant that its tag has emitted already comes too late (or once more), and so
+does one between the last such instant and the sample that it was computed with:
 it changes nothing that is emitted, and is written to the ``late`` table; later instants begin at it if
 it is the newest of its tag. :meth:`repair` corrects what was emitted: a late sample changes the
 instants between its neighbours and no others, so of all stretches between two samples those that
@@ -46,6 +47,8 @@ _CARRY = T.StructType([
     T.StructField("istat", T.LongType()),
     T.StructField("v", T.DoubleType()),
     T.StructField("done", T.LongType()),
+    # The sample after ``done`` that its value was computed with; null where it was held.
+    T.StructField("n_t", T.LongType()),
     T.StructField("batch", T.LongType()),
 ])
 
@@ -82,10 +85,10 @@ class GridStream:
         good = readings.select(*READING_SCHEMA.fieldNames()).where(
             (F.col("status") == 0) & F.col("ts").isNotNull() & (F.col("ts") < F.lit(self._grid.end))
         )
-        known = good.join(carried.select(*KEYS, "done"), KEYS)
+        known = good.join(carried.select(*KEYS, "done", "n_t"), KEYS)
         # Instant 0 is the first: with nothing emitted, no sample is late.
         emitted = F.when(F.col("done") >= 0, self._grid.instant_micros(F.col("done")))
-        late = F.coalesce(at <= emitted, F.lit(False))
+        late = F.coalesce(at <= emitted, F.lit(False)) | F.coalesce(at < F.col("n_t"), F.lit(False))
         known.where(late).select(*READING_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{self._path}/late/batch={batch}")
         # A tag that was held may have had a sample meanwhile: what comes next begins there.
         overdue = self._spark.read.schema(READING_SCHEMA).parquet(f"{self._path}/late/batch={batch}")
@@ -109,7 +112,7 @@ class GridStream:
         firsts = [F.min_by(f"first_{f}", "first_t").alias(f"first_{f}") for f in FIELDS]
         cells = fresh.unionByName(edge).groupBy(*KEYS, "cell").agg(*firsts, *picked)
         order = Window.partitionBy(*KEYS).orderBy("cell")
-        ahead = cells.join(carried.select(*KEYS, "done"), KEYS).withColumns({
+        ahead = cells.join(carried.select(*KEYS, "done", F.col("n_t").alias("done_n_t")), KEYS).withColumns({
             "next_cell": F.lead("cell").over(order), **{f"n_{f}": F.lead(f"first_{f}").over(order) for f in FIELDS},
         })
         # The last cell of a tag has no successor; it holds where the stream has moved on.
@@ -128,8 +131,12 @@ class GridStream:
         self._emit(ahead, batch)
         newest_cell = Window.partitionBy(*KEYS).orderBy("cell").rowsBetween(0, Window.unboundedFollowing)
         last = ahead.withColumn("done_after", F.greatest("done", F.max("hi").over(newest_cell))).where("next_cell IS NULL")
-        last.select(*KEYS, *[F.col(f"last_{f}").alias(f) for f in FIELDS], F.col("done_after").alias("done")).write.mode(
-            "overwrite").parquet(f"{self._path}/carry/batch={batch}")
+        # Emitted up to its last cell, a tag was computed with the first sample of that; beyond, it was held.
+        with_next = F.when(F.col("done_after") == F.col("done"), F.col("done_n_t")).when(
+            F.col("done_after") <= F.col("cell"), F.col("first_t"))
+        last.select(
+            *KEYS, *[F.col(f"last_{f}").alias(f) for f in FIELDS], F.col("done_after").alias("done"), with_next.alias("n_t")
+        ).write.mode("overwrite").parquet(f"{self._path}/carry/batch={batch}")
         # A repeated batch needs the table before its own, and none older.
         drop_scratch(self._spark, path, f"{self._path}/carry/batch={batch - 2}")
 
@@ -141,7 +148,8 @@ class GridStream:
             *[F.col(f).alias(f"last_{f}") for f in FIELDS], *[F.lit(None).cast(k).alias(f"n_{f}") for f, k in FIELDS.items()],
         )
         self._emit(rest, batch)
-        self._carried(before=batch).withColumn("done", F.lit(self._grid.points - 1).cast("bigint")).select(
+        end = F.lit(self._grid.points - 1).cast("bigint")
+        self._carried(before=batch).withColumns({"n_t": F.when(F.col("done") == end, F.col("n_t")), "done": end}).select(
             *[f.name for f in _CARRY if f.name != "batch"]).write.mode("overwrite").parquet(f"{self._path}/carry/batch={batch}")
 
     def _emit(self, ahead: DataFrame, batch: int) -> None:
