@@ -14,7 +14,7 @@ unchanged.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,9 @@ from pyspark.sql import types as T
 
 from tagloom.llm.tokens import ChunkCache, binary_column, kept, slices
 
+#: What a worker keeps of chunks and of pairs, and the bytes of text or ids it takes at a time.
+CACHE_ENTRIES, PAIRS, SLICE = 100_000, 300_000, 1 << 20
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -40,7 +43,7 @@ class Merges:
         self.size = max(self.ranks.values()) + 1
         self.parts: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for token, rank in self.ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
@@ -74,7 +77,8 @@ class Merges:
         back shows every pair of tokens that ever met at the border, each together with the
         rank from which on it no longer did.
         """
-        known = self.pairs.get((left, right))
+        pair = left * self.size + right
+        known = self.pairs.get(pair)
         if known is not None:
             return known
         a, b, gone = left, right, self.size
@@ -91,9 +95,9 @@ class Merges:
                 gone, a = a, self.parts[a][1]
             else:
                 gone, b = b + 1, self.parts[b][0]
-        if len(self.pairs) >= 2_000_000:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
-        self.pairs[left, right] = result
+        self.pairs[pair] = result
         return result
 
     def encode(self, piece: bytes) -> list[int]:
@@ -135,35 +139,27 @@ def encoder(path: str, pattern: str) -> ChunkCache:
         import regex
 
         merges, split = Merges(path), regex.compile(pattern)
-        pieces = ChunkCache(lambda p: np.asarray(merges.encode(p.encode()), dtype="<u4").tobytes())
-        return ChunkCache(lambda text: b"".join([pieces.one(p) for p in split.findall(text)]))
+        pieces = ChunkCache(lambda p: np.asarray(merges.encode(p.encode()), dtype="<u4").tobytes(), entries=CACHE_ENTRIES)
+        return ChunkCache(lambda text: b"".join([pieces.one(p) for p in split.findall(text)]), entries=CACHE_ENTRIES)
 
     return kept(("bpe", path, pattern), make)
 
 
-def encode_documents(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None
-) -> DataFrame:
-    """``keep`` (all columns but the text, if not given) and ``ids``: the ids as little-endian
-    unsigned 32-bit integers in one binary value."""
-    others = [c for c in docs.columns if c not in (text, ids)] if keep is None else keep
+Batches = Iterator[pa.RecordBatch]
+
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoding(path: str, pattern: str, others: list[str], ids: str) -> Callable[[Batches], Batches]:
+    def encode(batches: Batches) -> Batches:
         cache = encoder(path, pattern)
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             starts, found = cache.texts(batch.column(len(others)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], binary_column(starts, found)], names=[*others, ids])
 
-    schema = T.StructType([*[docs.schema[c] for c in others], T.StructField(ids, T.BinaryType())])
-    return docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`")).mapInArrow(encode, schema)
-
-
-def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """All columns and ``decoded``: the bytes of the ids. An id outside the vocabulary raises."""
+    return encode
 
-    place = encoded.columns.index(ids)
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoding(path: str, place: int, decoded: str) -> Callable[[Batches], Batches]:
+    def decode(batches: Batches) -> Batches:
         def make() -> list[bytes]:
             table: list[bytes | None] = [None] * (max((ranks := read_ranks(path)).values()) + 1)
             for token, rank in ranks.items():
@@ -171,7 +167,7 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", decoded: s
             return table
 
         table = kept(("bytes", path), make, alone=False)
-        for batch in slices(batches, place):
+        for batch in slices(batches, place, SLICE):
             out = [
                 b"".join([table[i] for i in np.frombuffer(v, dtype="<u4").tolist()]) if v else b""
                 for v in batch.column(place).to_pylist()
@@ -179,5 +175,37 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", decoded: s
             names = [*batch.schema.names, decoded]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=names)
 
+    return decode
+
+
+def _texts(docs: DataFrame, text: str, ids: str, keep: list[str] | None) -> tuple[DataFrame, list[str], T.StructType]:
+    others = [c for c in docs.columns if c not in (text, ids)] if keep is None else keep
+    schema = T.StructType([*[docs.schema[c] for c in others], T.StructField(ids, T.BinaryType())])
+    return docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`")), others, schema
+
+
+def encode_documents(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None
+) -> DataFrame:
+    """``keep`` (all columns but the text, if not given) and ``ids``: the ids as little-endian
+    unsigned 32-bit integers in one binary value."""
+    rows, others, schema = _texts(docs, text, ids, keep)
+    return rows.mapInArrow(_encoding(path, pattern, others, ids), schema)
+
+
+def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """All columns and ``decoded``: the bytes of the ids. An id outside the vocabulary raises."""
     schema = T.StructType([*encoded.schema.fields, T.StructField(decoded, T.BinaryType())])
-    return encoded.mapInArrow(decode, schema)
+    return encoded.mapInArrow(_decoding(path, encoded.columns.index(ids), decoded), schema)
+
+
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """:func:`decode_documents` of :func:`encode_documents` in one worker per task. As two steps they take two
+    workers a task, every one of which comes to hold an encoder, since workers change between the steps."""
+    rows, others, schema = _texts(docs, text, ids, keep)
+    encode, decode = _encoding(path, pattern, others, ids), _decoding(path, len(others), decoded)
+    schema = T.StructType([*schema.fields, T.StructField(decoded, T.BinaryType())])
+    return rows.mapInArrow(lambda batches: decode(encode(batches)), schema)
