@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from tagloom.llm.tokens import ChunkCache, binary_column, kept, slices
 
-#: What a worker keeps of chunks and of pairs, and the bytes of text or ids it takes at a time.
-CACHE_ENTRIES, PAIRS, SLICE = 100_000, 300_000, 1 << 20
+#: Pairs of tokens that a worker remembers.
+PAIRS = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -139,8 +139,8 @@ def encoder(path: str, pattern: str) -> ChunkCache:
         import regex
 
         merges, split = Merges(path), regex.compile(pattern)
-        pieces = ChunkCache(lambda p: np.asarray(merges.encode(p.encode()), dtype="<u4").tobytes(), entries=CACHE_ENTRIES)
-        return ChunkCache(lambda text: b"".join([pieces.one(p) for p in split.findall(text)]), entries=CACHE_ENTRIES)
+        pieces = ChunkCache(lambda p: np.asarray(merges.encode(p.encode()), dtype="<u4").tobytes())
+        return ChunkCache(lambda text: b"".join([pieces.one(p) for p in split.findall(text)]))
 
     return kept(("bpe", path, pattern), make)
 
@@ -151,7 +151,7 @@ Batches = Iterator[pa.RecordBatch]
 def _encoding(path: str, pattern: str, others: list[str], ids: str) -> Callable[[Batches], Batches]:
     def encode(batches: Batches) -> Batches:
         cache = encoder(path, pattern)
-        for batch in slices(batches, most=SLICE):
+        for batch in slices(batches):
             starts, found = cache.texts(batch.column(len(others)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], binary_column(starts, found)], names=[*others, ids])
 
@@ -167,7 +167,7 @@ def _decoding(path: str, place: int, decoded: str) -> Callable[[Batches], Batche
             return table
 
         table = kept(("bytes", path), make, alone=False)
-        for batch in slices(batches, place, SLICE):
+        for batch in slices(batches, place):
             out = [
                 b"".join([table[i] for i in np.frombuffer(v, dtype="<u4").tolist()]) if v else b""
                 for v in batch.column(place).to_pylist()

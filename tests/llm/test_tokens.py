@@ -51,7 +51,7 @@ def test_op1(spark, odd_documents, given):
     assert sorted(map(tuple, QUERIES["op1_byte_bpe"](spark, folder).collect())) == sorted(want)
 
 
-def test_op1_encodes_and_decodes_in_one_worker_of_bounded_memory(spark):
+def test_op1_encodes_and_decodes_in_one_worker_of_bounded_memory(spark, monkeypatch):
     """A worker of its own for each step came to hold an encoder too, four to an executor."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     plan = QUERIES["op1_byte_bpe"](spark, SF)._jdf.queryExecution().executedPlan().toString()
@@ -59,6 +59,7 @@ def test_op1_encodes_and_decodes_in_one_worker_of_bounded_memory(spark):
     apart = bpe.decode_documents(bpe.encode_documents(docs, RANKS, public.PATTERN), RANKS)
     both = bpe.round_trip(docs, RANKS, public.PATTERN)
     assert both.schema == apart.schema and sorted(map(tuple, both.collect())) == sorted(map(tuple, apart.collect()))
+    monkeypatch.setattr(bpe, "PAIRS", 100_000)
     merges = bpe.Merges(RANKS)
     assert {merges.fits(a, b) for a in range(600) for b in range(600)} == {True, False}
     assert 0 < len(merges.pairs) <= bpe.PAIRS < 600 * 600
