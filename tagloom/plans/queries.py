@@ -329,8 +329,8 @@ def q24_retention(spark, sf_dir):
     return left.withColumn("event_date", F.col("event_date").cast("string"))
 
 
-#: Micro-batches of a stream, and files of each.
-STREAM_BATCHES, BATCH_FILES = 4, 2
+#: Micro-batches of a stream, and files of each; more where a file would get more than so many rows.
+STREAM_BATCHES, BATCH_FILES, FILE_ROWS = 4, 2, 250_000
 
 
 def _event_stream(spark, sf_dir, twice: bool = False, shuffled: bool = False) -> DataFrame:
@@ -341,9 +341,11 @@ def _event_stream(spark, sf_dir, twice: bool = False, shuffled: bool = False) ->
     folder = scratch_path(spark, "arriving")
     cuts = [r * 1.0 / STREAM_BATCHES for r in range(1, STREAM_BATCHES)]
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    bounds = raw.agg(F.percentile_approx(at, F.array(*map(F.lit, cuts)), 10_000)).first()[0] or []
+    bounds, n_rows = raw.agg(F.percentile_approx(at, F.array(*map(F.lit, cuts)), 10_000), F.count(F.lit(1))).first()
+    # A file is written by one task, and a small one read by one.
+    n_files = max(BATCH_FILES, -(-n_rows // (STREAM_BATCHES * FILE_ROWS)))
     piece = F.lit(0)
-    for bound in bounds:
+    for bound in bounds or []:
         piece = piece + (at > F.lit(bound)).cast("int")
     if shuffled:
         piece = F.pmod(F.xxhash64("event_id"), F.lit(STREAM_BATCHES)).cast("int")
@@ -351,8 +353,8 @@ def _event_stream(spark, sf_dir, twice: bool = False, shuffled: bool = False) ->
     for k in [*range(STREAM_BATCHES), *(range(STREAM_BATCHES // 2) if twice else ())]:
         # So many files per append, so that a stream source reads a piece as one batch, in this order.
         own = pieces.where(F.col("piece") == k).drop("piece")
-        own.repartition(BATCH_FILES).write.mode("append").parquet(folder)
-    return file_stream(spark, folder, raw.schema, max_files_per_trigger=BATCH_FILES)
+        own.repartition(n_files).write.mode("append").parquet(folder)
+    return file_stream(spark, folder, raw.schema, max_files_per_trigger=n_files)
 
 
 def _run(stream: DataFrame, on_batch, checkpoint: str) -> None:

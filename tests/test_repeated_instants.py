@@ -56,3 +56,16 @@ def test_tables_after_a_merge_hold_an_instant_once(spark, folder, name, monkeypa
         assert rows.n_events.sum() == 200 and (rows.n_folders == 1).all()
     else:
         assert rows.event_id.value_counts().max() == 1
+
+
+def test_files_of_a_micro_batch_follow_the_rows(spark, monkeypatch):
+    """A file of a stream is the work of one task, so a larger table is more files, not larger ones."""
+    from tagloom.plans import queries
+    from tagloom.session import scratch_path
+
+    places, batches = [], []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, name: places.append(scratch_path(s, name)) or places[-1])
+    monkeypatch.setattr(queries, "FILE_ROWS", 50)
+    stream = queries._event_stream(spark, f"{TESTDATA}/sf0.001")
+    queries._run(stream, lambda df, n: batches.append(df.count()), scratch_path(spark, "offsets"))
+    assert len(spark.read.parquet(places[0]).inputFiles()) == 4 * 5 and batches == [250] * 4
