@@ -69,3 +69,21 @@ def test_files_of_a_micro_batch_follow_the_rows(spark, monkeypatch):
     stream = queries._event_stream(spark, f"{TESTDATA}/sf0.001")
     queries._run(stream, lambda df, n: batches.append(df.count()), scratch_path(spark, "offsets"))
     assert len(spark.read.parquet(places[0]).inputFiles()) == 4 * 5 and batches == [250] * 4
+
+
+#: The merge's pick among readings of one id: its order first, then the other columns, nulls last.
+PICK = ", ".join(f"{c} DESC NULLS LAST" for c in (
+    "quality", "value", "point_id", "value_type", "digital_code", "digital_set_id", "digital_state_id", "digital_state_name", "raw_istat"))
+
+
+def once(rows, sql, before, after):
+    """``sql`` with one row per id of ``rows``, where it reads them as ``before rows after``."""
+    assert sql.count(f"{before}{rows}{after}") == 1
+    picked = f"(SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY {PICK}) = 1)"
+    return sql.replace(f"{before}{rows}{after}", f"{before}{picked}{after}")
+
+
+@pytest.mark.parametrize("name", ["q17_merge", "q17_merge_all_columns"])
+def test_merge_equals_its_sql_with_one_staged_reading_of_an_instant(spark, folder, con, name):
+    sql = once("staging", ORACLES[name], "FULL OUTER JOIN ", " s ON")
+    assert difference(QUERIES[name](spark, folder), con, sql) is None
