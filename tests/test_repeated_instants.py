@@ -87,3 +87,9 @@ def once(rows, sql, before, after):
 def test_merge_equals_its_sql_with_one_staged_reading_of_an_instant(spark, folder, con, name):
     sql = once("staging", ORACLES[name], "FULL OUTER JOIN ", " s ON")
     assert difference(QUERIES[name](spark, folder), con, sql) is None
+
+
+def test_retention_equals_its_sql_with_one_reading_of_an_instant(spark, folder, con):
+    name = "q39_retention_after_merge"
+    sql = once("e", ORACLES[name], "AS event_date, * FROM ", ")")
+    assert difference(QUERIES[name](spark, folder), con, sql) is None
